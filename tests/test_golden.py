@@ -1,0 +1,133 @@
+"""Published results on the published input tables.
+
+Set FEED_GOLDEN_DIR to a folder that holds the CSV files of the four tables and of the
+three outputs, anywhere below it. They are recognized by their headers.
+"""
+
+import csv
+import os
+from datetime import date
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+
+from feedwright import FeedSpec
+from feedwright.operators import build, checks, identifiers, profile, validation
+from feedwright.plans import job
+from feedwright.schemas import TABLES
+from feedwright.sources import csv as csv_source
+from feedwright.spec import FEED_COLUMNS
+
+GOLDEN = os.environ.get("FEED_GOLDEN_DIR")
+pytestmark = pytest.mark.skipif(not GOLDEN, reason="FEED_GOLDEN_DIR is not set")
+SPEC = FeedSpec(as_of=date(2026, 9, 21), category="Skincare")
+
+
+def golden_path(columns):
+    for path in sorted(Path(GOLDEN).rglob("*.csv")):
+        with open(path, newline="") as file:
+            if next(csv.reader(file)) == list(columns):
+                return str(path)
+    raise LookupError(f"no CSV with columns {columns}")
+
+
+def golden_rows(columns):
+    with open(golden_path(columns), newline="") as file:
+        return [tuple(row[c] for c in columns) for row in csv.DictReader(file)]
+
+
+@pytest.fixture(scope="module")
+def sources(spark):
+    return build.Sources(
+        **{name: csv_source.read_table(spark, name, golden_path(schema.names)) for name, schema in TABLES.items()}
+    )
+
+
+@pytest.fixture(scope="module")
+def built(sources, tmp_path_factory):
+    return job.build_feed(sources, SPEC, str(tmp_path_factory.mktemp("golden")))
+
+
+def as_text(df):
+    return sorted(tuple("" if value is None else str(value) for value in row) for row in df.collect())
+
+
+def test_feed(built):
+    assert as_text(built.feed.select(*FEED_COLUMNS)) == sorted(golden_rows(FEED_COLUMNS))
+
+
+def test_clean_feed(built):
+    columns = [*FEED_COLUMNS, "matchable_flag", "dq_notes"]
+    cleaned = validation.clean_feed(built.feed)
+    assert cleaned.columns == columns
+    assert as_text(cleaned) == sorted(golden_rows(columns))
+
+
+def test_summary(built):
+    report = [tuple(row) for row in validation.validation_report(built.feed, SPEC).collect()]
+    assert report == golden_rows(["metric", "value", "threshold", "status"])
+
+
+def test_gate(built):
+    verdict = validation.gate(validation.validation_report(built.feed, SPEC))
+    assert verdict.exit_code == 2
+    assert verdict.failed_metrics == ["hashed_email_coverage", "matchability: valid email + hash"]
+
+
+def test_funnel(built):
+    funnel = profile.exclusion_funnel(built.deduped, built.engagement, built.feed)
+    assert [tuple(row) for row in funnel.collect()] == [
+        ("engaged_in_window", 166, 100.0),
+        ("final_feed", 131, 78.9),
+        ("excluded_bad_identifier", 19, 11.4),
+        ("excluded_opt_out", 16, 9.6),
+    ]
+
+
+def test_tiers(built):
+    assert [tuple(row) for row in profile.tier_composition(built.feed).collect()] == [
+        ("low", 82, 62.6, 1.6, 33, Decimal("3345.00")),
+        ("medium", 29, 22.1, 5.4, 18, Decimal("778.00")),
+        ("high", 20, 15.3, 11.7, 8, Decimal("807.00")),
+    ]
+
+
+def test_completeness(built):
+    rows = {row["field"]: row["completeness_pct"] for row in profile.field_completeness(built.feed).collect()}
+    assert rows == {
+        "zip_code": 96.2,
+        "product_category": 100.0,
+        "last_activity_date": 100.0,
+        "engagement_score": 100.0,
+    }
+
+
+def test_identifiers(sources, built):
+    assert tuple(profile.email_quality(built.deduped).first()) == (300, 23, 7.7, 14, 4.7, 263, 147)
+    assert tuple(profile.hash_coverage(built.feed).first()) == (131, 77, 58.8, 54)
+    duplicates = checks.duplicate_ids(sources.customers).collect()
+    assert [tuple(row) for row in duplicates] == [
+        (c, 2) for c in ("C0010", "C0040", "C0090", "C0140", "C0190", "C0240")
+    ]
+    assert tuple(profile.matchability(built.feed, SPEC).first()) == (
+        70.0,
+        58.8,
+        131,
+        77,
+        54,
+        "FAIL — see diagnosis below",
+    )
+    assert tuple(profile.missing_hash_diagnosis(built.feed).first()) == (54, 41.2)
+    assert identifiers.hash_consistency(sources.customers).first()[:] == (152, 0)
+
+
+def test_quality_checks(sources, built):
+    customers, events, products, orders = sources
+    assert checks.optout_leakage(built.feed, built.deduped).first()[0] == 0
+    assert checks.null_required_fields(built.feed).first()[0] == 5
+    assert checks.duplicate_ids(built.feed).count() == 0
+    assert tuple(checks.event_date_quality(events, SPEC).first()) == (4, 31, 0)
+    assert tuple(checks.orphan_records(customers, events, products, orders).first()) == (20, 14, 4, 4)
+    assert checks.events_missing_customer(events).first()[0] == 10
+    assert tuple(identifiers.order_value_reconcile(orders, products).first()) == (150, 150, 0)
