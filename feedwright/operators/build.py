@@ -66,15 +66,19 @@ def dedupe_customers(customers: DataFrame) -> DataFrame:
     )
 
 
+def _usable_events(events: DataFrame, spec: FeedSpec) -> DataFrame:
+    return events.filter(_in_window("event_date", spec) & present("customer_id"))
+
+
 def category_events(
     events: DataFrame, products: DataFrame, spec: FeedSpec, small_products: bool | None = None
 ) -> DataFrame:
-    """In-window events of identified customers on products of the target category."""
-    usable = events.filter(_in_window("event_date", spec) & present("customer_id"))
-    targeted = products.filter(F.col("category") == spec.category).select(
-        "product_id", "product_name", "price", "premium_flag"
-    )
-    return lookup_join(usable, targeted, "product_id", fits=small_products).select(
+    """In-window events of identified customers on products of the target category.
+
+    A row per event and product row: an event on a product listed twice appears twice.
+    """
+    targeted = products.filter(F.col("category") == spec.category)
+    return lookup_join(_usable_events(events, spec), targeted, "product_id", fits=small_products).select(
         "event_id",
         "customer_id",
         "event_type",
@@ -92,33 +96,59 @@ def event_weight(c: str = "event_type") -> Column:
     return reduce(lambda case, item: case.when(F.col(c) == item[0], item[1]), EVENT_WEIGHTS.items(), F).otherwise(0)
 
 
-def customer_engagement(events: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Activity of each customer over category events, with a capped weighted score."""
+def _rollup_events(events: DataFrame, times: Column, spec: FeedSpec) -> DataFrame:
+    """Activity per customer with every row counted `times`."""
 
     def of_type(kind: str) -> Column:
-        return F.count_if(F.col("event_type") == kind)
+        return F.sum(F.when(F.col("event_type") == kind, times).otherwise(0))
 
     return events.groupBy("customer_id").agg(
         F.max("event_date").alias("last_activity_date"),
-        rows().alias("total_events"),
+        F.sum(times).alias("total_events"),
         of_type("page_view").alias("page_views"),
         of_type("product_view").alias("product_views"),
         of_type("add_to_cart").alias("add_to_carts"),
         of_type("purchase").alias("purchases"),
         F.max("premium_flag").alias("premium_interaction_flag"),
-        F.least(F.lit(spec.score_cap).cast("bigint"), F.sum(event_weight())).alias("engagement_score"),
+        F.least(F.lit(spec.score_cap).cast("bigint"), F.sum(event_weight() * times)).alias("engagement_score"),
     )
 
 
+def customer_engagement(category_events: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Activity of each customer over category events, with a capped weighted score."""
+    return _rollup_events(category_events, F.lit(1), spec)
+
+
+def engagement_of(
+    events: DataFrame, products: DataFrame, spec: FeedSpec, small_products: bool | None = None
+) -> DataFrame:
+    """`customer_engagement` of the category events, without listing them.
+
+    Product rows are counted per id before the join, so events on a product with very
+    many rows are weighted instead of multiplied.
+    """
+    targeted = (
+        products.filter(F.col("category") == spec.category)
+        .groupBy("product_id")
+        .agg(rows().alias("times"), F.max("premium_flag").alias("premium_flag"))
+    )
+    matched = lookup_join(_usable_events(events, spec), targeted, "product_id", fits=small_products)
+    return _rollup_events(matched, F.col("times"), spec)
+
+
 def customer_orders(
     orders: DataFrame, products: DataFrame, spec: FeedSpec, small_products: bool | None = None
 ) -> DataFrame:
-    """In-window orders of any known product, per customer."""
+    """In-window orders of any known product, per customer; counted once per row of the product."""
     usable = orders.filter(_in_window("order_date", spec) & present("customer_id"))
+    listed = products.groupBy("product_id").agg(rows().alias("times"))
     return (
-        lookup_join(usable, products.select("product_id"), "product_id", fits=small_products)
+        lookup_join(usable, listed, "product_id", fits=small_products)
         .groupBy("customer_id")
-        .agg(rows().alias("total_purchases"), F.sum("order_value").alias("total_spend"))
+        .agg(
+            F.sum("times").alias("total_purchases"),
+            F.sum(F.col("order_value") * F.col("times")).cast("decimal(20,2)").alias("total_spend"),
+        )
     )
 
 
@@ -162,7 +192,7 @@ def build(sources: Sources, spec: FeedSpec) -> FeedTables:
     customers, events, products, orders = sources
     small = fits_broadcast(products) or None
     deduped = dedupe_customers(customers)
-    engagement = customer_engagement(category_events(events, products, spec, small), spec)
+    engagement = engagement_of(events, products, spec, small)
     orders = customer_orders(orders, products, spec, small)
     return FeedTables(deduped, engagement, orders, audience_feed(deduped, engagement, orders, spec))
 

@@ -51,8 +51,12 @@ def email_defects(customers: DataFrame) -> DataFrame:
 
 
 def order_value_check(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Orders with the list price of their product and whether the value is a valid multiple of it."""
-    priced = lookup_join(orders, products.select("product_id", "price"), "product_id", "left").withColumn(
+    """Orders with the price of their product and whether the value is a valid multiple of it.
+
+    A product has one price; of several, the highest.
+    """
+    prices = products.groupBy("product_id").agg(F.max("price").alias("price"))
+    priced = lookup_join(orders, prices, "product_id", "left").withColumn(
         "price", F.coalesce("price", F.lit(UNKNOWN_PRODUCT_PRICE).cast("decimal(10,2)"))
     )
     multiples = (F.col("order_value") == F.col("price") * quantity for quantity in ORDER_QUANTITIES)

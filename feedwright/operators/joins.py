@@ -10,6 +10,8 @@ from feedwright.functions.numbers import rows
 # Largest side to broadcast, in bytes of row data.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 _FIXED_WIDTH = 16
+# Parts that the rows of a key are spread over when the dimension is too large to broadcast.
+SALTS = 16
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
@@ -26,14 +28,19 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts with a dimension that is usually, but not surely, small.
 
-    A dimension measured to fit is broadcast, so that the facts are not moved. A
-    larger one is merge-joined on the key; there the adaptive skew join cuts the
-    partition of a hot key into pieces by map output. `fits` passes on a measurement
-    already made.
+    A dimension measured to fit is broadcast, so that the facts are not moved. A larger
+    one is merge-joined: the facts of each key are spread over salts by the task that
+    reads them, and the dimension is repeated per salt, so no key goes to one task;
+    what is still too large the adaptive skew join cuts further. `fits` passes on a
+    measurement already made.
     """
     if fits is None:
         fits = fits_broadcast(dimension)
-    return facts.join(F.broadcast(dimension) if fits else dimension.hint("merge"), key, how)
+    if fits:
+        return facts.join(F.broadcast(dimension), key, how)
+    spread = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def count_by_match(facts: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:

@@ -37,7 +37,7 @@ def register_views(sources: Sources, tables: FeedTables, spec: FeedSpec) -> None
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder below `spark.checkpoint.dir`; only a local session may go without that setting."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

@@ -188,6 +188,7 @@ _FINAL = {
     "deduped_customers": "SELECT * FROM deduped",
     "category_events": "SELECT * FROM category_events",
     "customer_engagement": "SELECT * FROM engagement",
+    "customer_engagement_direct": "SELECT * FROM engagement",
     "customer_orders": "SELECT * FROM order_rollup",
     "audience_feed": "SELECT * FROM feed",
     "feed_preview": "SELECT * FROM feed ORDER BY engagement_score DESC, customer_id LIMIT 20",

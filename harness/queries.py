@@ -30,6 +30,10 @@ def _engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.customer_engagement(_category_events(spark, sf_dir), SPEC)
 
 
+def _engagement_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build.engagement_of(fx.events(spark, sf_dir), fx.products(spark, sf_dir), SPEC)
+
+
 def _built(spark: SparkSession, sf_dir: str) -> build.FeedTables:
     return build.build(fx.sources(spark, sf_dir), SPEC)
 
@@ -122,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "deduped_customers": _deduped,
     "category_events": _category_events,
     "customer_engagement": _engagement,
+    "customer_engagement_direct": _engagement_direct,
     "customer_orders": _customer_orders,
     "audience_feed": _feed,
     "feed_preview": _over_feed(build.feed_preview),
