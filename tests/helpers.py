@@ -5,12 +5,17 @@ import io
 from datetime import date
 from decimal import Decimal
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from feedwright import FeedSpec
 from feedwright.schemas import TABLES
 from feedwright.spec import FEED_COLUMNS
 
+# What a failing Spark job raises.
+JOB_FAILURES = (PySparkException, Py4JJavaError)
+
 SPEC = FeedSpec(as_of=date(2026, 9, 21), category="Skincare")
 
 FEED_SCHEMA = T.StructType(

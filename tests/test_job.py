@@ -1,0 +1,120 @@
+from datetime import date
+
+import pytest
+
+from feedwright import FeedSpec
+from feedwright.__main__ import main
+from feedwright.plans import job
+from feedwright.sources import csv
+
+from helpers import JOB_FAILURES, tuples
+
+FILES = {
+    "customers": """customer_id,email,hashed_email,zip_code,opt_out_flag,created_date
+C1,Ann@b.com,h1,02108,0,2024-01-18
+C1,Ann@b.com,h1,,0,2024-02-18
+C2,bob@b.com,,10001,0,2024-01-18
+C3,cy@b.com,h3,10001,1,2024-01-18
+C4,dee@mail,,10001,0,2024-01-18
+""",
+    "events": """event_id,customer_id,event_type,event_date,product_id,session_id
+E1,C1,purchase,2026-09-01,P1,S1
+E2,C2,page_view,2026-09-21,P1,S1
+E3,C3,page_view,2026-06-23,P1,S1
+E4,C4,page_view,2026-06-23,P1,S1
+E5,C1,page_view,2026-06-22,P1,S1
+E6,,page_view,2026-09-01,P1,S1
+E7,C9,page_view,2026-09-01,P9,S1
+""",
+    "products": """product_id,product_name,category,price,premium_flag
+P1,Cream,Skincare,10.00,1
+""",
+    "orders": """order_id,customer_id,order_date,order_value,product_id
+O1,C1,2026-09-01,20.00,P1
+O2,C2,2026-09-01,50.00,P9
+""",
+}
+
+
+@pytest.fixture
+def inputs(tmp_path):
+    for name, text in FILES.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return tmp_path
+
+
+def build_args(folder, *more):
+    files = [arg for name in FILES for arg in (f"--{name}", str(folder / f"{name}.csv"))]
+    return ["build", *files, "--out", str(folder / "out"), "--as-of", "2026-09-21", *more]
+
+
+def report(spark, folder, name):
+    return sorted(tuples(csv.read_text(spark, str(folder / "out" / name))))
+
+
+EXPECTED = [
+    ("C1", "Ann@b.com", "h1", None, "Skincare", "2026-09-01", "1", "20.00", "10", "1", "high"),
+    ("C2", "bob@b.com", None, "10001", "Skincare", "2026-09-21", "0", "0.00", "1", "1", "low"),
+]
+
+
+@pytest.mark.parametrize("more", [[], ["--by-date", "--quarantine", "--multiline"]])
+def test_build_validate(spark, inputs, more):
+    for _ in range(2):  # a rerun replaces the results by the same
+        assert main(build_args(inputs, *more)) == 0
+        assert report(spark, inputs, "audience_feed") == EXPECTED
+    assert report(spark, inputs, "audit/orphan_records") == [("2", "1", "0", "1")]
+    assert report(spark, inputs, "audit/event_date_quality") == [("0", "1", "0")]
+    assert report(spark, inputs, "audit/duplicate_customers") == [("C1", "2")]
+    assert report(spark, inputs, "audit/exclusion_funnel") == [
+        ("engaged_in_window", "4", "100.0"),
+        ("excluded_bad_identifier", "1", "25.0"),
+        ("excluded_opt_out", "1", "25.0"),
+        ("final_feed", "2", "50.0"),
+    ]
+    assert len(list((inputs / "out" / "audit").iterdir())) == 18
+
+    out = str(inputs / "out")
+    assert main(["validate", "--feed", f"{out}/audience_feed", "--out", out]) == 2
+    summary = dict(row[:2] for row in report(spark, inputs, "data_quality_summary"))
+    assert summary["matchability: valid email + hash"] == "50.0% (1/2)"
+    assert [row[1:3] + row[-2:] for row in report(spark, inputs, "audience_feed_clean")] == [
+        ("ann@b.com", "h1", "1", "missing_zip"),
+        ("bob@b.com", None, "0", "missing_hashed_email:unmatchable"),
+    ]
+
+
+def test_validate_single_file(spark, tmp_path, capsys):
+    good = (
+        "customer_id,email,hashed_email,zip_code,product_category,last_activity_date,total_purchases,total_spend,"
+        "engagement_score,premium_interaction_flag,engagement_tier\r\n"
+        "C1,a@b.com,h,02108,Skincare,2026-09-01,0,0.00,1,0,low\r\n"
+    )
+    (tmp_path / "feed.csv").write_bytes(good.encode())
+    assert main(["validate", "--feed", str(tmp_path / "feed.csv"), "--out", str(tmp_path / "out")]) == 0
+    assert "All checks passed" in capsys.readouterr().out
+    # The summary keeps the order of the checks.
+    metrics = [row["metric"] for row in csv.read_text(spark, str(tmp_path / "out" / "data_quality_summary")).collect()]
+    assert metrics[0] == "required_columns_present" and metrics[-1] == "malformed_zip_present" and len(metrics) == 11
+
+
+def test_validate_without_feed(spark, tmp_path, capsys):
+    assert main(["validate", "--feed", str(tmp_path / "none"), "--out", str(tmp_path / "out")]) == 1
+    assert "not found" in capsys.readouterr().err
+
+
+def test_nulls_in_mandatory_columns(spark, inputs):
+    text = FILES["events"].replace("E2,C2,page_view", "E2,C2,")
+    (inputs / "events.csv").write_text(text)
+    with pytest.raises(JOB_FAILURES, match="events.event_type is null"):
+        main(build_args(inputs))
+    assert main(build_args(inputs, "--quarantine")) == 0
+    rejected = spark.read.parquet(str(inputs / "out" / "rejected" / "events"))
+    assert [(row["event_id"], row["violations"]) for row in rejected.collect()] == [("E2", "event_type")]
+    assert [row[0] for row in report(spark, inputs, "audience_feed")] == ["C1"]
+
+
+def test_window_defaults_to_today(monkeypatch):
+    spec = FeedSpec.today(category="Tools")
+    assert (spec.as_of, spec.category, spec.window_days) == (date.today(), "Tools", 90)
+    assert job.DATE_COLUMNS == {"events": "event_date", "orders": "order_date"}
