@@ -188,9 +188,13 @@ def audience_feed(deduped: DataFrame, engagement: DataFrame, orders: DataFrame,
 
 
 def build(sources: Sources, spec: FeedSpec) -> FeedTables:
-    """All relations of the build, lazily; products are measured once for both of their joins."""
+    """All relations of the build, lazily.
+
+    Products are measured once, in what the two joins with them need at most. Only if
+    that is too large is each join's own, shorter list measured.
+    """
     customers, events, products, orders = sources
-    small = fits_broadcast(products) or None
+    small = fits_broadcast(products.select("product_id", "category", "premium_flag")) or None
     deduped = dedupe_customers(customers)
     engagement = engagement_of(events, products, spec, small)
     orders = customer_orders(orders, products, spec, small)

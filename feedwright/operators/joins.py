@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import rows
 
-# Largest side to broadcast, in bytes of row data.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Largest side to broadcast, in bytes of row data, and what a column adds to its text.
+BROADCAST_LIMIT = 128 * 1024 * 1024
 _FIXED_WIDTH = 16
 # Parts that the rows of a key are spread over when the dimension is too large to broadcast.
 SALTS = 16

@@ -29,7 +29,8 @@ def exclusion_funnel(deduped: DataFrame, engagement: DataFrame, feed: DataFrame)
 
     Engaged customers and feed rows are tagged, united and counted together.
     """
-    engaged = deduped.join(engagement.select("customer_id"), "customer_id").select(
+    customers = deduped.join(engagement.select("customer_id"), "customer_id")
+    engaged = customers.select("customer_id", "opt_out_flag", "email").distinct().select(
         F.lit(True).alias("engaged"),
         (F.col("opt_out_flag") == 1).alias("opted_out"),
         ((F.col("opt_out_flag") == 0) & (missing("email") | invalid_email("email"))).alias("bad_identifier"),

@@ -62,6 +62,7 @@ def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpe
     customers, events, products, orders = sources
     deduped, engagement, _, feed = built
     return {
+        "feed_preview": build.feed_preview(feed),
         "exclusion_funnel": profile.exclusion_funnel(deduped, engagement, feed),
         "tier_composition": profile.tier_composition(feed),
         "field_completeness": profile.field_completeness(feed),

@@ -72,7 +72,11 @@ def test_build_validate(spark, inputs, more):
         ("excluded_opt_out", "1", "25.0"),
         ("final_feed", "2", "50.0"),
     ]
-    assert len(list((inputs / "out" / "audit").iterdir())) == 18
+    assert len(list((inputs / "out" / "audit").iterdir())) == 19
+
+    # A report without rows still has its header.
+    empty = csv.read_text(spark, str(inputs / "out" / "audit" / "duplicate_feed_ids"))
+    assert empty.columns == ["customer_id", "occurrences"] and empty.count() == 0
 
     out = str(inputs / "out")
     assert main(["validate", "--feed", f"{out}/audience_feed", "--out", out]) == 2
