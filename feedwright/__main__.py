@@ -1,4 +1,4 @@
-"""Command line: `python -m feedwright build|validate ...` or the same with spark-submit."""
+"""Command line: `python -m feedwright build|validate ...`, or this file with spark-submit."""
 
 from __future__ import annotations
 

@@ -31,14 +31,16 @@ def lookup_join(
     A dimension measured to fit is broadcast, so that the facts are not moved. A larger
     one is merge-joined: the facts of each key are spread over salts by the task that
     reads them, and the dimension is repeated per salt, so no key goes to one task;
-    what is still too large the adaptive skew join cuts further. `fits` passes on a
-    measurement already made.
+    what is still too large the adaptive skew join cuts further. Null keys match nothing
+    and are spread without bound. `fits` passes on a measurement already made.
     """
     if fits is None:
         fits = fits_broadcast(dimension)
     if fits:
         return facts.join(F.broadcast(dimension), key, how)
-    spread = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    task = F.spark_partition_id()
+    salt = F.when(F.col(key).isNull(), task).otherwise(F.pmod(task, F.lit(SALTS)))
+    spread = facts.withColumn("_salt", salt)
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return spread.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
@@ -46,9 +48,9 @@ def lookup_join(
 def count_by_match(facts: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     """Number of fact rows whose key has (`left_semi`) or lacks (`left_anti`) a match.
 
-    Facts are counted per key before they are joined, so each map task sends a hot
-    key, or the null key, as a single row.
+    Facts are counted per key and keys made distinct before they are joined, so on both
+    sides each map task sends a hot key, or the null key, as a single row.
     """
     per_key = facts.groupBy(key).agg(rows().alias("n"))
-    matched = per_key.join(keys.select(key), key, how)
+    matched = per_key.join(keys.select(key).distinct(), key, how)
     return matched.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from feedwright.operators.build import Sources
+from feedwright.operators.joins import lookup_join
 from feedwright.spec import FeedSpec
 
 SPEC = FeedSpec(as_of=date(2024, 1, 24), category="PROMO", window_days=14)
@@ -163,9 +164,8 @@ def replace_columns(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose value is a multiple of the price of their product."""
-    priced = orders(spark, sf_dir).join(
-        products(spark, sf_dir).select("product_id", "price"), "product_id", "left"
-    )
+    prices = products(spark, sf_dir).select("product_id", "price")
+    priced = lookup_join(orders(spark, sf_dir), prices, "product_id", "left")
     return replace_columns(priced, {"order_value": PRICED_VALUE}).drop("price")
 
 

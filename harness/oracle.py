@@ -280,6 +280,7 @@ _FINAL = {
     "csv_roundtrip": "SELECT " + ", ".join(
         f"NULLIF(CAST({c} AS VARCHAR), '') AS {c}" for c in FEED_COLUMNS
     ) + " FROM feed",
+    "feed_from_csv": "SELECT * REPLACE (NULLIF(zip_code, '') AS zip_code) FROM feed",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import rows
 from feedwright.operators import build, checks, identifiers, profile, validation
+from feedwright.plans import job
 from feedwright.schemas import TABLES
 from feedwright.sources import contracts, csv, tables
 from harness import fixtures as fx
@@ -122,6 +123,16 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_text(spark, path)
 
 
+def _feed_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of source tables written to CSV, loaded under their schemas and contract, and stored."""
+    folder = tables.work_folder(spark)
+    paths = {}
+    for name, df in fx.sources(spark, sf_dir)._asdict().items():
+        paths[name] = f"{folder}/csv/{name}"
+        csv.write_csv(df, paths[name])
+    return job.build_feed(job.land(spark, paths, folder), SPEC, folder).feed
+
+
 QUERIES: dict[str, Query] = {
     "deduped_customers": _deduped,
     "category_events": _category_events,
@@ -160,4 +171,5 @@ QUERIES: dict[str, Query] = {
     "contract_violations": _contract_violations,
     "contract_rejects": _contract_rejects,
     "csv_roundtrip": _csv_roundtrip,
+    "feed_from_csv": _feed_from_csv,
 }

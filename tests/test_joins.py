@@ -91,7 +91,30 @@ def test_count_by_match(facts, dimension, how):
     assert joins.count_by_match(facts.limit(0), dimension, "key", how).first()["n"] == 0
 
 
-def test_facts_are_counted_before_they_move(facts, dimension):
-    lines = plan(joins.count_by_match(facts, dimension, "key", "left_anti"), "simple").splitlines()
-    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(key" in line)
-    assert "partial_count(1)" in lines[exchange + 1]
+def test_both_sides_are_reduced_before_they_move(spark, facts, dimension):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        lines = plan(joins.count_by_match(facts, dimension, "key", "left_anti"), "simple").splitlines()
+    finally:
+        spark.conf.set(key, before)
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(key" in line]
+    assert len(below) == 2 and "partial_count(1)" in below[0]
+    assert all("HashAggregate(keys=[key" in line for line in below)
+
+
+def test_null_keys_are_spread_without_bound(spark, dimension):
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    nulls = spark.range(0, 6000, numPartitions=60).select("id", F.lit(None).cast("string").alias("key"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = joins.lookup_join(nulls, dimension, "key", "left", fits=False)
+        sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.filter("v IS NOT NULL").count() == 0
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 6000 and len(sizes) > 30 and max(sizes) < 1000
