@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import rows
 from feedwright.functions.text import missing, present
-from feedwright.operators.joins import count_by_match
+from feedwright.operators.joins import count_by_match, fits_broadcast
 from feedwright.spec import FeedSpec
 
 
@@ -64,11 +64,12 @@ def orphan_records(customers: DataFrame, events: DataFrame, products: DataFrame,
     never a known customer, so such ids are kept out of the match.
     """
     known = customers.filter(present("customer_id"))
+    small = fits_broadcast(products.select("product_id"))
     counts = {
         "events_orphaned_customer": count_by_match(events, known, "customer_id", "left_anti"),
-        "events_unknown_product": count_by_match(events, products, "product_id", "left_anti"),
+        "events_unknown_product": count_by_match(events, products, "product_id", "left_anti", small),
         "orders_orphaned_customer": count_by_match(orders, known, "customer_id", "left_anti"),
-        "orders_unknown_product": count_by_match(orders, products, "product_id", "left_anti"),
+        "orders_unknown_product": count_by_match(orders, products, "product_id", "left_anti", small),
     }
     tagged = (count.select(F.lit(name).alias("measure"), "n") for name, count in counts.items())
     return reduce(DataFrame.unionAll, tagged).agg(

@@ -45,12 +45,16 @@ def lookup_join(
     return spread.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
-def count_by_match(facts: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+def count_by_match(facts: DataFrame, keys: DataFrame, key: str, how: str, fits: bool = False) -> DataFrame:
     """Number of fact rows whose key has (`left_semi`) or lacks (`left_anti`) a match.
 
-    Facts are counted per key and keys made distinct before they are joined, so on both
+    Keys measured to fit are broadcast and the facts stay where they are. Otherwise
+    facts are counted per key and keys made distinct before they are joined, so on both
     sides each map task sends a hot key, or the null key, as a single row.
     """
+    distinct = keys.select(key).distinct()
+    if fits:
+        return facts.select(key).join(F.broadcast(distinct), key, how).agg(rows().alias("n"))
     per_key = facts.groupBy(key).agg(rows().alias("n"))
-    matched = per_key.join(keys.select(key).distinct(), key, how)
+    matched = per_key.join(distinct, key, how)
     return matched.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))

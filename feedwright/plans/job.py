@@ -73,7 +73,7 @@ def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpe
         "null_required_fields": checks.null_required_fields(feed),
         "duplicate_feed_ids": checks.duplicate_ids(feed),
         "event_date_quality": checks.event_date_quality(events, spec),
-        "orphan_records": checks.orphan_records(customers, events, products, orders),
+        "orphan_records": checks.orphan_records(deduped, events, products, orders),
         "events_missing_customer": checks.events_missing_customer(events),
         "matchability": profile.matchability(feed, spec),
         "missing_hash_diagnosis": profile.missing_hash_diagnosis(feed),

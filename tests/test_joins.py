@@ -87,8 +87,9 @@ def test_count_by_match(facts, dimension, how):
     known = {row["key"] for row in dimension.collect()} - {None}
     matched = sum(row["key"] in known for row in facts.collect())
     expected = matched if how == "left_semi" else 9000 - matched
-    assert joins.count_by_match(facts, dimension, "key", how).first()["n"] == expected
-    assert joins.count_by_match(facts.limit(0), dimension, "key", how).first()["n"] == 0
+    for fits in (False, True):
+        assert joins.count_by_match(facts, dimension, "key", how, fits).first()["n"] == expected
+        assert joins.count_by_match(facts.limit(0), dimension, "key", how, fits).first()["n"] == 0
 
 
 def test_both_sides_are_reduced_before_they_move(spark, facts, dimension):
