@@ -130,7 +130,7 @@ def test_store_replaces(spark, tmp_path):
     assert sorted(tuples(tables.store(spark.range(3), path))) == [(0,), (1,), (2,)]
 
 
-def test_store_by_date_prunes_and_splits_hot_days(spark, tmp_path):
+def test_store_by_date_prunes(spark, tmp_path):
     day = F.when(F.col("id") % 3 < 2, F.lit(date(2026, 1, 1))).otherwise(F.date_add(F.lit(date(2026, 1, 1)), (F.col("id") % 5).cast("int")))
     events = spark.range(0, 3000, numPartitions=12).select(F.col("id").cast("string").alias("event_id"), day.alias("event_date"), "id")
     stored = tables.store(events, str(tmp_path / "e"), "event_date")
@@ -142,6 +142,21 @@ def test_store_by_date_prunes_and_splits_hot_days(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan(window)
 
 
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    events = spark.range(0, 300_000, numPartitions=16).select(
+        F.col("id").cast("string").alias("event_id"), F.lit(date(2026, 1, 1)).alias("event_date")
+    )
+    spark.conf.set(key, "100k")
+    try:
+        stored = tables.store(events, str(tmp_path / "e"), "event_date")
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((tmp_path / "e").rglob("*.parquet"))) > 3
+    assert stored.count() == 300_000
+
+
 def test_views(spark):
     sources = build.Sources(
         customers=table(spark, "customers", [{"customer_id": "C1", "email": "a@b.com"}]),
