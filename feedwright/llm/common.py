@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ HEAVY = 1000
 # White space between words, and what a word consists of.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+# Characters of text that a task takes apart at a time.
+SLICE_CHARS = 2_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +61,20 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     return joined.select(*keep, *(got[v].alias(v) for v in values))
 
 
+def slices(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in stretches of about SLICE_CHARS characters; a longer text is one of its own or ends one."""
+    part: list[str | None] = []
+    chars = 0
+    for text in texts:
+        part.append(text)
+        chars += len(text or "")
+        if chars >= SLICE_CHARS:
+            yield part
+            part, chars = [], 0
+    if part:
+        yield part
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else; null is the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)

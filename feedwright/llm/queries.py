@@ -1,29 +1,91 @@
-"""The registered queries of the operators, one for each."""
+"""The registered queries of the operators, one for each, and their DuckDB statements."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+from feedwright.llm import bpe, chat_format, html_main, quality, secret_scan
 from feedwright.llm.common import ascii_lower, read
 from feedwright.llm.exact_dedup import exact_dedup
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.sha2(ascii_lower(F.col("text")).cast("binary"), 256).alias("text_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, read(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path(TOKENIZER)
+    encoded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+    return token_digests(bpe.decode(encoded, tokenizer)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def token_digests(decoded: DataFrame) -> DataFrame:
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return decoded.withColumns(
+        {
+            "n_tokens": F.size("ids").cast("bigint"),
+            "ids_sha256": F.sha2(ids.cast("binary"), 256),
+            "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256),
+        }
+    )
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def listed(findings: Column) -> Column:
+        return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
+
+    base = F.filter("findings", lambda f: f["kind"] != "guess")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"), of("guess"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.render_perspectives(read(spark, sf_dir, "conversations"))
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    extracted = html_main.extract_main(pages, html_main.learn_weights(pages))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_bpe": op4_bpe,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_chat_format": op9_chat_format,
+    "op10_html_extract": op10_html_extract,
 }
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+# Only what SQL can express; the others are tested against brute force or held-out accuracy.
 ORACLE = {
     "op1_exact_dedup": f"""
         WITH docs AS (SELECT doc_id, translate(coalesce(text, ''), {UPPER_LOWER}) AS body FROM documents),
         best AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM docs GROUP BY body)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM docs JOIN best USING (body)""",
+    "op9_chat_format": chat_format.ORACLE_SQL,
 }
