@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from feedwright.llm import bpe, chat_format, html_main, quality, secret_scan
-from feedwright.llm.common import ascii_lower, read
+from feedwright.llm import bpe, chat_format, html_main, mixing, quality, secret_scan
+from feedwright.llm.common import ascii_lower, read, word_count
 from feedwright.llm.exact_dedup import exact_dedup
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,11 @@ def token_digests(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_bpe": op4_bpe,
+    "op6_mix_sources": op6_mix_sources,
     "op7_secret_scan": op7_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_html_extract": op10_html_extract,
