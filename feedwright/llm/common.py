@@ -53,7 +53,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     condition = match[0]
     for part in match[1:]:
         condition = condition & part
-    joined = found.join(rest, condition, "left")
+    # Shuffled at every size, so a plan tried on little data is the one that runs on much.
+    joined = found.join(rest.hint("merge"), condition, "left")
     got = F.coalesce("_heavy", "_rest")
     if how == "inner":
         joined = joined.filter(got.isNotNull())
