@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from feedwright.llm import bpe, chat_format, html_main, mixing, quality, secret_scan
+from feedwright.llm import bpe, chat_format, html_main, mixing, quality, secret_scan, simhash
 from feedwright.llm.common import ascii_lower, read, word_count
 from feedwright.llm.exact_dedup import exact_dedup
 
@@ -64,6 +64,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"), of("guess"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.render_perspectives(read(spark, sf_dir, "conversations"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_mix_sources": op6_mix_sources,
     "op7_secret_scan": op7_secret_scan,
+    "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_html_extract": op10_html_extract,
 }
