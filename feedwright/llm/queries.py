@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from feedwright.llm import bpe, chat_format, html_main, mixing, quality, secret_scan, simhash
+from feedwright.llm import bpe, chat_format, html_main, mixing, permutation_index, quality, secret_scan, simhash
 from feedwright.llm.common import ascii_lower, read, word_count
 from feedwright.llm.exact_dedup import exact_dedup
 
@@ -18,6 +18,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.sha2(ascii_lower(F.col("text")).cast("binary"), 256).alias("text_sha256"))
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return permutation_index.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_quality(docs, read(spark, sf_dir, "labels"))
@@ -81,6 +86,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_permutation_index": op2_permutation_index,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_bpe": op4_bpe,
     "op6_mix_sources": op6_mix_sources,
