@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from feedwright.llm import bpe, chat_format, html_main, mixing, permutation_index, quality, secret_scan, simhash
+from feedwright.llm import bpe, chat_format, html_main, mixing, permutation_index, quality, secret_scan, simhash, suffix_dedup
 from feedwright.llm.common import ascii_lower, read, word_count
 from feedwright.llm.exact_dedup import exact_dedup
 
@@ -51,6 +51,11 @@ def token_digests(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeated(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -89,6 +94,7 @@ QUERIES = {
     "op2_permutation_index": op2_permutation_index,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_bpe": op4_bpe,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_secret_scan": op7_secret_scan,
     "op8_simhash": op8_simhash,
