@@ -4,30 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedwright.llm import bpe, mixing, quality, simhash
 from feedwright.llm.common import read, stored
 from feedwright.llm.exact_dedup import exact_dedup
+from feedwright.llm.queries import TOKENIZER, token_digests
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of good quality is at least the threshold; an empty text has the prior's."""
+    model = quality.fit_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model, out="_score").filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+
+
 def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text, the one with the largest doc_id."""
     return exact_dedup(docs).filter("kept").select(*docs.columns)
 
 
+def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked, the one with the smallest doc_id."""
+    return simhash.near_duplicates(docs).filter("kept").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mix, each as often as it is taken."""
+    return mixing.mix(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, and the digests of the ids and of what they decode to."""
+    tokenizer = public_tokenizers.path(TOKENIZER)
+    decoded = token_digests(bpe.decode(bpe.encode(docs, tokenizer), tokenizer))
+    return decoded.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", good_quality),
     ("exact_dedup", one_of_equal),
+    ("simhash_near_dedup", one_of_near),
+    ("mix_sources", mixed),
+    ("bpe", tokens),
 ]
 
-# The classifier's scores, the sample and the tokens cannot be expressed in SQL.
+# Scores, fingerprints, the sample and the tokens cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir; every one but the last is stored."""
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+    for place, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if place < len(STAGES):
+            docs = stored(docs)
     return docs

@@ -264,22 +264,30 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, keep: list[str] | None = None) -> DataFrame:
-    """`docs` (or its columns `keep`) with fingerprint and component_id, the least doc_id reachable over links.
+    """`docs` (or its columns `keep`) with fingerprint, component_id and kept.
+
+    component_id is the least doc_id reachable over links; of a component one row of that id is
+    kept.
 
     Fingerprints have 16 hex digits and link at max_bits or fewer differing bits. Null and empty texts have fingerprint
-    zero, which links like any other; texts shorter than a shingle are one. Null ids are ignored
-    as names: a component of null ids only has the name null. Columns named like the results are
+    zero, which links like any other; texts shorter than a shingle are one. Null ids are greater
+    than any other: a component of null ids only has the name null. Columns named like the results are
     replaced. Copies meet as one fingerprint before anything is compared.
     """
-    results = ["fingerprint", "component_id"]
+    results = ["fingerprint", "component_id", "kept"]
     columns = [c for c in keep or docs.columns if c not in results]
     source = docs.select(F.struct(*columns).alias("doc"), "doc_id", F.col(text_col).alias("_text"))
     rows = fingerprints(source, "_text", "fp", shingle)
     rows = stored(rows.drop("_text").withColumn("rid", F.monotonically_increasing_id()))
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    distinct = stored(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least"), F.count(F.lit(1)).alias("rows")))
     roots = components(near_links(distinct, max_bits))
     rooted = distinct.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(names.hint("merge"), "root").select("fp", "component_id", "rows"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = stored(rooted.join(names.hint("merge"), "root").select("fp", "first", "rows"))
     found = join_groups(rows, named, ["fp"], "rows")
-    return found.select(*(F.col(f"doc.`{c}`").alias(c) for c in columns), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select(
+        *(F.col(f"doc.`{c}`").alias(c) for c in columns),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"),
+        (F.col("first.rid") == F.col("rid")).alias("kept"),
+    )
