@@ -134,11 +134,12 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         # The page says what its content is: words elsewhere are as bad as in a menu.
         listed = [(*t[:4], t[4] or not t[5], t[5]) for t in listed]
     scores = []
-    for feature, words, text, _, bad, _ in listed:
+    for feature, words, text, _, bad, mark in listed:
         prior = TAG_PRIOR if text is None else BAD_WORD_PRIOR if bad else WORD_PRIOR
         weight = weights.get(feature, prior) if feature else 0.0
         if bad:
-            weight = min(weight, prior)
+            # It is left out in any case, so within the content it must not end the region.
+            weight = 0.0 if mark else min(weight, prior)
         scores.append(weight * words if text is not None else weight)
     start, end = best_region(scores)
     blocks, current = [], []

@@ -1,0 +1,168 @@
+"""Permutation index, mixing, and the pipeline."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from feedwright.llm import mixing, permutation_index
+from feedwright.llm.common import read, word_count
+from feedwright.llm.queries import QUERIES
+
+
+def exact(ids, vectors, asked, k):
+    norms = np.sqrt((vectors**2).sum(axis=1))
+    out = {}
+    for q in asked:
+        i = ids.index(q)
+        score = vectors @ vectors[i] / (norms * norms[i])
+        order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-round(score[j], 12), ids[j]))
+        out[q] = [(ids[j], score[j]) for j in order[:k]]
+    return out
+
+
+def test_recall_and_scores_of_the_query(spark, sf):
+    table = read(spark, sf, "embeddings").orderBy("vec_id").collect()
+    ids, vectors = [r.vec_id for r in table], np.array([r.embedding for r in table], float)
+    want = exact(ids, vectors, [i for i in ids if i % 50 == 0], 5)
+    found = QUERIES["op2_permutation_index"](spark, sf).collect()
+    hits = 0
+    for q, best in want.items():
+        rows = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in rows] == [1, 2, 3, 4, 5]
+        assert all((-a.score, a.vec_id) < (-b.score, b.vec_id) for a, b in zip(rows, rows[1:]))
+        for r in rows:
+            i, j = ids.index(q), ids.index(r.vec_id)
+            assert r.score == pytest.approx(vectors[i] @ vectors[j] / math.sqrt((vectors[i] ** 2).sum() * (vectors[j] ** 2).sum()), abs=1e-14)
+        hits += len({r.vec_id for r in rows} & {i for i, _ in best})
+    assert hits / (5 * len(want)) >= 0.9
+
+
+def test_recall_over_blocks_and_copies(spark, monkeypatch):
+    """Several blocks and query turns; a third of the vectors are one vector, another third nearly."""
+    monkeypatch.setattr(permutation_index, "BLOCK", 300)
+    monkeypatch.setattr(permutation_index, "QUERIES", 20)
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(1500, 16))
+    data[500:1000] = data[500]
+    data[1000:] = data[500] + 0.05 * data[1000:]
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = permutation_index.nearest(df, df.filter("vec_id % 25 = 0")).collect()
+    want = exact(list(range(1500)), data, range(0, 1500, 25), 5)
+    hits = sum(len({r.vec_id for r in found if r.query_id == q} & {i for i, _ in best}) for q, best in want.items())
+    assert hits / (5 * len(want)) >= 0.9
+    copies = [r.vec_id for r in sorted((r for r in found if r.query_id == 600), key=lambda r: r.rank)]
+    assert copies == [500, 501, 502, 503, 504]
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 1.0, 1.0]), (8, [1e-300, 1e-300]), (9, [-1e300, 1e300]), (None, [1.0, 2.0]), (1, [2.0, 0.0])]
+    df = spark.createDataFrame([(*r, 0, 0.0) for r in rows], "vec_id long, embedding array<double>, rank int, score double")
+    found = permutation_index.nearest(df, df).collect()
+    assert {r.query_id for r in found} == {0, 1, 8, 9}
+    first = {r.query_id: [(s.vec_id, round(s.score, 9)) for s in sorted((x for x in found if x.query_id == r.query_id), key=lambda x: x.rank)] for r in found}
+    half = round(math.sqrt(0.5), 9)
+    assert first[0] == [(1, 1.0), (8, half), (9, -half)]
+    assert first[8] == [(0, half), (1, half), (9, 0.0)]
+    assert permutation_index.nearest(df.limit(0), df).collect() == []
+    assert permutation_index.nearest(df, df.limit(0)).collect() == []
+
+
+def slow_targets(sizes):
+    """Share by weight, stop what is above three times its size, and share again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, open_, out = sum(sizes.values()), set(order), {}
+    while open_:
+        rest = total - sum(out.values())
+        share = {s: rest * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        above = {s for s in open_ if share[s] >= 3 * sizes[s]}
+        if not above:
+            out |= share
+            break
+        out |= {s: float(3 * sizes[s]) for s in above}
+        open_ -= above
+    return out
+
+
+def check_mix(rows, near):
+    sizes, taken = {}, {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        assert 0 <= r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
+    want = slow_targets(sizes)
+    for r in rows:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source], rel=1e-12)
+    for source, words in taken.items():
+        assert abs(words - want[source]) <= near(source), source
+
+
+def test_mix_of_given_documents(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    rows = mixing.plan_mix(docs).collect()
+    assert len(rows) == docs.count()
+    check_mix(rows, lambda source: 60)
+    again = mixing.plan_mix(docs.repartition(5)).collect()
+    assert sorted((r.doc_id, r.taken) for r in rows) == sorted((r.doc_id, r.taken) for r in again)
+
+
+def test_mix_in_many_blocks(spark):
+    docs = spark.range(6000).selectExpr("id doc_id", "if(id % 3 = 0, 'big', if(id % 3 = 1, 'mid', null)) source", "cast(1 + xxhash64(id) % 50 + 50 as bigint) size")
+    check_mix(mixing.plan_mix(docs, block=100).collect(), lambda source: 20)
+
+
+def test_flight_keeps_both_totals():
+    rng = np.random.default_rng(3)
+    sizes, chances = rng.integers(0, 500, 400).astype(float), rng.random(400)
+    flown = mixing.fly(sizes, chances, rng)
+    assert ((flown > 0) & (flown < 1)).sum() <= 2
+    assert flown.sum() == pytest.approx(chances.sum()) and flown @ sizes == pytest.approx(chances @ sizes)
+
+
+def test_mix_of_awkward_rows(awkward, no_docs):
+    sized = awkward.withColumn("size", word_count(F.col("text")))
+    rows = mixing.plan_mix(sized).collect()
+    assert len(rows) == awkward.count()
+    largest = max(r.size for r in rows)
+    check_mix(rows, lambda source: largest)
+    mixed = mixing.mix(awkward)
+    assert mixed.columns == awkward.columns
+    assert all(r.text is None or r.text for r in mixed.collect() if r.text != "")
+    assert mixing.plan_mix(no_docs.withColumn("size", F.lit(0))).collect() == []
+    assert mixing.mix(no_docs).collect() == []
+
+
+def test_pipeline_stages_keep_columns_and_awkward_rows(spark, awkward, no_docs, sf):
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for docs in (awkward.select(*columns), no_docs.select(*columns)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, docs, sf).columns == columns, name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
+def test_pipeline(spark, sf):
+    """Each stage's decisions, on what the one before kept."""
+    docs = read(spark, sf, "documents").cache()
+    labels = {r.doc_id: r.quality for r in read(spark, sf, "labels").collect()}
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, sf).cache()
+        ids, were = [r.doc_id for r in docs.select("doc_id").collect()], {r.doc_id for r in before.select("doc_id").collect()}
+        assert set(ids) <= were
+        sizes.append(len(ids))
+        if name == "quality_classifier":
+            gone = were - set(ids)
+            assert sum(labels.get(i) == 0 for i in gone) > 0.9 * sum(q == 0 for q in labels.values())
+            assert sum(labels.get(i) == 1 for i in gone) <= 0.02 * len(labels)
+        if name in ("exact_dedup", "simhash_near_dedup"):
+            assert len(ids) == len(set(ids))
+        if name == "mix_sources":
+            assert max(map(ids.count, set(ids))) <= 3
+    assert sizes[0] < 1000 and sizes[1] < sizes[0] and sizes[3] == sizes[4]
+    assert corpus_pipeline.run(spark, sf).count() == sizes[-1]
