@@ -40,8 +40,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the digests of the ids and of what they decode to."""
     tokenizer = public_tokenizers.path(TOKENIZER)
-    decoded = token_digests(bpe.decode(bpe.encode(docs, tokenizer), tokenizer))
-    return decoded.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    coded = token_digests(bpe.encode_and_decode(docs, tokenizer))
+    return coded.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -16,6 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -23,7 +24,7 @@ from pyspark.sql.functions import arrow_udf
 from feedwright.llm.common import slices
 
 # Distinct words remembered by a task.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 300_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -104,6 +105,14 @@ class WordBpe:
 
     def _pieces(self, chunk: str) -> list[bytes | int]:
         """What a run of non-space characters consists of: words as bytes, special tokens as ids."""
+        low = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        # Most chunks are letters, with one mark at most.
+        if low.isalpha():
+            return [low.encode()]
+        if low[:-1].isalpha() and low[-1] in ",.;:!?":
+            return [low[:-1].encode(), low[-1].encode()]
+        if not self.special_pattern.search(chunk):
+            return [m.encode("utf-8", "replace") for m in self.word_pattern.findall(low)]
         out: list[bytes | int] = []
         start = 0
         for found in chain(self.special_pattern.finditer(chunk), [None]):
@@ -174,34 +183,41 @@ def _loaded(definition: str) -> WordBpe:
     return WordBpe(definition)
 
 
+def _ids(found: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in found])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
+
+
+def _definition(docs: DataFrame, tokenizer: str) -> Broadcast[str]:
+    with open(tokenizer, encoding="utf-8") as file:
+        return docs.sparkSession.sparkContext.broadcast(file.read())
+
+
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """`docs` with the token ids of each whole text in `out`, replacing a column of that name.
 
     `tokenizer` is the path of the file on the driver; its content, a few MB however large the
     data are, is sent to the executors. No special tokens are added; their strings in a text are
     recognised. Null is the empty text, and that has no ids. Work and memory of a task grow
-    with a slice of common.SLICE_CHARS characters or the longest single text. Distinct words are merged
-    once per task; a word of n symbols takes at most n rounds.
+    with a slice of common.SLICE_CHARS bytes or the longest single text. Distinct words are
+    merged once per task; a word of n symbols takes at most n rounds. Characters that Unicode
+    has assigned after the version of this Python count as unassigned.
     """
-    with open(tokenizer, encoding="utf-8") as file:
-        definition = docs.sparkSession.sparkContext.broadcast(file.read())
+    definition = _definition(docs, tokenizer)
 
     @arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _loaded(definition.value)
         for batch in batches:
-            found = [a for part in slices(batch.to_pylist()) for a in bpe.encode(part)]
-            offsets = np.concatenate([[0], np.cumsum([len(a) for a in found])]).astype(np.int32)
-            values = np.concatenate(found) if found else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+            for part in slices(batch):
+                yield _ids(bpe.encode(part))
 
     return docs.withColumn(out, ids(F.col(text_col)))
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """`encoded` with the text of each list of ids in `out`; special tokens are kept, null gives ''."""
-    with open(tokenizer, encoding="utf-8") as file:
-        definition = encoded.sparkSession.sparkContext.broadcast(file.read())
+    definition = _definition(encoded, tokenizer)
 
     @arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -210,3 +226,22 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out: str =
             yield pa.array([bpe.decode(row.as_py() or []) for row in batch], pa.string())
 
     return encoded.withColumn(out, text(F.col(ids_col)))
+
+
+def encode_and_decode(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+    """`docs` with ids and decoded, as encode() and then decode() give them, by one worker for both."""
+    definition = _definition(docs, tokenizer)
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    @arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = _loaded(definition.value)
+        for batch in batches:
+            for part in slices(batch):
+                found = bpe.encode(part)
+                texts = pa.array([bpe.decode(ids.tolist()) for ids in found], pa.string())
+                yield pa.StructArray.from_arrays([_ids(found), texts], fields=list(kind))
+
+    coded = docs.withColumn("_coded", both(F.col(text_col)))
+    columns = [c for c in docs.columns if c not in ("ids", "decoded")]
+    return coded.select(*columns, "_coded.ids", "_coded.decoded")

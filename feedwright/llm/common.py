@@ -5,6 +5,9 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ HEAVY = 1000
 # White space between words, and what a word consists of.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-# Characters of text that a task takes apart at a time.
+# Bytes of text that a task takes apart at a time.
 SLICE_CHARS = 2_000_000
 
 
@@ -62,18 +65,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     return joined.select(*keep, *(got[v].alias(v) for v in values))
 
 
-def slices(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """The texts in stretches of about SLICE_CHARS characters; a longer text is one of its own or ends one."""
-    part: list[str | None] = []
-    chars = 0
-    for text in texts:
-        part.append(text)
-        chars += len(text or "")
-        if chars >= SLICE_CHARS:
-            yield part
-            part, chars = [], 0
-    if part:
-        yield part
+def slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in stretches of about SLICE_CHARS bytes; a longer text ends one."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = sizes[start - 1] if start else 0
+        end = min(len(texts), int(np.searchsorted(sizes, before + SLICE_CHARS)) + 1)
+        yield texts.slice(start, end - start).to_pylist()
+        start = end
 
 
 def ascii_lower(text: Column) -> Column:

@@ -194,7 +194,8 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", out: st
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            logits = np.array([x for part in slices(batch.to_pylist()) for x in scorer.logits(part)])
-            yield pa.array(1 / (1 + np.exp(-np.clip(logits, -500, 500))), pa.float64())
+            for part in slices(batch):
+                logits = np.array(scorer.logits(part))
+                yield pa.array(1 / (1 + np.exp(-np.clip(logits, -500, 500))), pa.float64())
 
     return docs.withColumn(out, score(F.col(text_col)))

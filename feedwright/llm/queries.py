@@ -36,8 +36,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
-    return token_digests(bpe.decode(encoded, tokenizer)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    coded = bpe.encode_and_decode(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+    return token_digests(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def token_digests(decoded: DataFrame) -> DataFrame:
