@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 import sys
+import traceback
 from datetime import date
 
 from feedwright.plans import job
-from feedwright.plans.session import get_session
+from feedwright.plans.session import get_session, input_bytes, size_shuffles
 from feedwright.schemas import TABLES
-from feedwright.spec import FeedSpec
+from feedwright.spec import WINDOW_DAYS, FeedSpec
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -21,12 +22,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         build.add_argument(f"--{name}", required=True, help=f"CSV file or folder of {name}")
     build.add_argument("--out", required=True, help="output folder")
     build.add_argument("--as-of", type=date.fromisoformat, default=None, help="last day of the window (today)")
-    build.add_argument("--window-days", type=int, default=90)
-    build.add_argument("--category", default="Skincare")
+    build.add_argument("--window-days", type=int, default=WINDOW_DAYS)
+    build.add_argument("--category", required=True, help="target category")
     build.add_argument("--by-date", action="store_true", help="partition events and orders by day")
     build.add_argument("--quarantine", action="store_true", help="set rows with null mandatory columns aside")
 
-    validate = commands.add_parser("validate", help="validate a CSV feed; exit 0 passed, 2 failed, 1 no feed")
+    build.add_argument("--provision-hash", action="store_true", help="fill in missing hashes of valid emails")
+
+    validate = commands.add_parser("validate", help="validate a CSV feed; exit 0 passed, 2 failed, 1 no feed, 3 error")
     validate.add_argument("--feed", required=True)
     validate.add_argument("--out", required=True)
 
@@ -42,11 +45,18 @@ def main(argv: list[str] | None = None) -> int:
         return job.validate_feed(spark, args.feed, FeedSpec.today(), args.out, args.multiline)
     spec = FeedSpec(args.as_of or date.today(), args.category, args.window_days)
     paths = {name: getattr(args, name) for name in TABLES}
+    size_shuffles(spark, input_bytes(spark, paths.values()))
     sources = job.land(spark, paths, args.out, args.by_date, args.quarantine, args.multiline)
-    built = job.build_feed(sources, spec, args.out)
+    built = job.build_feed(sources, spec, args.out, args.provision_hash)
     job.audit_feed(sources, built, spec, args.out)
     return 0
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    try:
+        status = main()
+    except Exception:
+        # 1 means that there is no feed, so nothing else may end with it.
+        traceback.print_exc()
+        status = 3
+    sys.exit(status)

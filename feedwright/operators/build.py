@@ -188,10 +188,11 @@ def audience_feed(deduped: DataFrame, engagement: DataFrame, orders: DataFrame,
 
 
 def build(sources: Sources, spec: FeedSpec) -> FeedTables:
-    """All relations of the build, lazily.
+    """All relations of the build; nothing is computed yet but the size of the products.
 
-    Products are measured once, in what the two joins with them need at most. Only if
-    that is too large is each join's own, shorter list measured.
+    Products are measured once, a Spark job, in what the two joins with them need at most. Only
+    if that is too large is each join's own, shorter list measured, and fact rows are counted
+    per product.
     """
     customers, events, products, orders = sources
     small = fits_broadcast(products.select("product_id", "category", "premium_flag")) or None

@@ -6,9 +6,7 @@ customers describe dirty sources and are for information.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import rows
@@ -17,14 +15,10 @@ from feedwright.operators.joins import count_by_match, fits_broadcast
 from feedwright.spec import FeedSpec
 
 
-def duplicate_ids(df: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Keys that occur more than once, most frequent first."""
-    return (
-        df.groupBy(key)
-        .agg(rows().alias("occurrences"))
-        .filter("occurrences > 1")
-        .orderBy(F.desc("occurrences"), key)
-    )
+def duplicate_ids(df: DataFrame, key: str = "customer_id", ordered: bool = True) -> DataFrame:
+    """Keys that occur more than once, most frequent first if `ordered`."""
+    found = df.groupBy(key).agg(rows().alias("occurrences")).filter("occurrences > 1")
+    return found.orderBy(F.desc("occurrences"), key) if ordered else found
 
 
 def optout_leakage(feed: DataFrame, deduped: DataFrame) -> DataFrame:
@@ -44,34 +38,65 @@ def null_required_fields(feed: DataFrame) -> DataFrame:
     return feed.agg(F.count_if(incomplete).alias("rows_with_null_required_fields"))
 
 
-def event_date_quality(events: DataFrame, spec: FeedSpec) -> DataFrame:
+def _date_counts(spec: FeedSpec) -> list[Column]:
     day = F.col("event_date")
-    return events.agg(
+    return [
         F.count_if(day > F.lit(spec.as_of)).alias("future_dated_events"),
         F.count_if(day < F.lit(spec.window_start)).alias("outdated_events"),
         F.count_if(day.isNull()).alias("null_dated_events"),
-    )
+    ]
+
+
+def _missing_customers() -> Column:
+    return F.count_if(missing("customer_id")).alias("events_missing_customer_id")
+
+
+def event_date_quality(events: DataFrame, spec: FeedSpec) -> DataFrame:
+    return events.agg(*_date_counts(spec))
 
 
 def events_missing_customer(events: DataFrame) -> DataFrame:
-    return events.agg(F.count_if(missing("customer_id")).alias("events_missing_customer_id"))
+    return events.agg(_missing_customers())
+
+
+def event_profile(events: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Date quality and missing customers in one row, from one pass."""
+    return events.agg(*_date_counts(spec), _missing_customers())
+
+
+def _one_row(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The columns of two relations of one row each, side by side."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
+
+
+def _orphans(facts: DataFrame, known: DataFrame, products: DataFrame, name: str, small: bool) -> DataFrame:
+    """Rows of `facts` without a known customer, and those without a known product, in one row."""
+    no_customer, no_product = f"{name}_orphaned_customer", f"{name}_unknown_product"
+    if not small:
+        by_customer = count_by_match(facts, known, "customer_id", "left_anti").withColumnRenamed("n", no_customer)
+        by_product = count_by_match(facts, products, "product_id", "left_anti").withColumnRenamed("n", no_product)
+        return _one_row(by_customer, by_product)
+    listed = products.select("product_id").distinct().withColumn("_listed", F.lit(True))
+    flagged = facts.select("customer_id", "product_id").join(F.broadcast(listed), "product_id", "left")
+    unlisted = F.count_if(F.col("_listed").isNull()).alias("unlisted")
+    per_customer = flagged.groupBy("customer_id").agg(rows().alias("n"), unlisted)
+    ids = known.select("customer_id").distinct().withColumn("_known", F.lit(True))
+    matched = per_customer.join(ids, "customer_id", "left")
+    return matched.agg(
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias(no_customer),
+        F.coalesce(F.sum("unlisted"), F.lit(0)).alias(no_product),
+    )
 
 
 def orphan_records(customers: DataFrame, events: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
     """Events and orders that point at no known customer or product, in one row.
 
-    `customers` may hold duplicates, only the set of ids matters. An empty id is
-    never a known customer, so such ids are kept out of the match.
+    `customers` may hold duplicates, only the set of ids matters. An empty id is never a known
+    customer, so such ids are kept out of the match. With product ids measured to fit a
+    broadcast, each fact table is read and shuffled once, a row per customer and map task.
     """
     known = customers.filter(present("customer_id"))
     small = fits_broadcast(products.select("product_id"))
-    counts = {
-        "events_orphaned_customer": count_by_match(events, known, "customer_id", "left_anti"),
-        "events_unknown_product": count_by_match(events, products, "product_id", "left_anti", small),
-        "orders_orphaned_customer": count_by_match(orders, known, "customer_id", "left_anti"),
-        "orders_unknown_product": count_by_match(orders, products, "product_id", "left_anti", small),
-    }
-    tagged = (count.select(F.lit(name).alias("measure"), "n") for name, count in counts.items())
-    return reduce(DataFrame.unionAll, tagged).agg(
-        *(F.sum(F.when(F.col("measure") == name, F.col("n"))).alias(name) for name in counts)
-    )
+    counted = (_orphans(facts, known, products, name, small) for name, facts in (("events", events), ("orders", orders)))
+    return _one_row(*counted)

@@ -10,8 +10,8 @@ from feedwright.functions.numbers import rows
 # Largest side to broadcast, in bytes of row data, and what a column adds to its text.
 BROADCAST_LIMIT = 128 * 1024 * 1024
 _FIXED_WIDTH = 16
-# Parts that the rows of a key are spread over when the dimension is too large to broadcast.
-SALTS = 16
+# A key with more than this part of the fact rows is spread, so at most so many keys are.
+HEAVY_KEYS = 1000
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
@@ -28,20 +28,27 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts with a dimension that is usually, but not surely, small.
 
-    A dimension measured to fit is broadcast, so that the facts are not moved. A larger
-    one is merge-joined: the facts of each key are spread over salts by the task that
-    reads them, and the dimension is repeated per salt, so no key goes to one task;
-    what is still too large the adaptive skew join cuts further. Null keys match nothing
-    and are spread without bound. `fits` passes on a measurement already made.
+    A dimension measured to fit is broadcast, so that the facts are not moved. A larger one is
+    merge-joined. Fact rows are counted per key first, and a key with more than 1/HEAVY_KEYS of
+    them is spread over as many salts as it has such parts, by the task that reads a row; only
+    the dimension rows of these keys are repeated. Their list is broadcast: it has fewer than
+    HEAVY_KEYS rows. Null keys match nothing and are spread without bound. `fits` passes on a
+    measurement already made.
     """
     if fits is None:
         fits = fits_broadcast(dimension)
     if fits:
         return facts.join(F.broadcast(dimension), key, how)
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(rows().alias("_n"))
+    [total] = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).collect()
+    part = max(total["n"] / HEAVY_KEYS, 1.0)
+    heavy = counts.filter(F.col("_n") > part).select(key, F.ceil(F.col("_n") / part).cast("int").alias("_salts"))
     task = F.spark_partition_id()
-    salt = F.when(F.col(key).isNull(), task).otherwise(F.pmod(task, F.lit(SALTS)))
-    spread = facts.withColumn("_salt", salt)
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.when(F.col(key).isNull(), task).otherwise(F.pmod(task, F.coalesce("_salts", F.lit(1))))
+    spread = facts.join(F.broadcast(heavy), key, "left").withColumn("_salt", salt).drop("_salts")
+    marked = dimension.join(F.broadcast(heavy), key, "left")
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = marked.withColumn("_salt", F.explode(salts)).drop("_salts")
     return spread.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 

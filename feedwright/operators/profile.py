@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import percent, round_scaled, rows
 from feedwright.functions.text import invalid_email, missing, present, valid_email
-from feedwright.spec import COMPLETENESS_FIELDS, FeedSpec
+from feedwright.spec import COMPLETENESS_FIELDS, VERDICT_FAIL, FeedSpec
 
 
 def _pct(part: Column | str, whole: Column | str) -> Column:
@@ -146,7 +146,7 @@ def matchability(feed: DataFrame, spec: FeedSpec) -> DataFrame:
         "feed_rows",
         "matchable_rows",
         (F.col("feed_rows") - F.col("matchable_rows")).alias("unmatchable_rows"),
-        F.when(share >= spec.matchability_target, "PASS").otherwise("FAIL — see diagnosis below").alias("verdict"),
+        F.when(share >= spec.matchability_target, "PASS").otherwise(VERDICT_FAIL).alias("verdict"),
     )
 
 

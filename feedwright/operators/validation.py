@@ -11,6 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedwright import spec as texts
 from feedwright.functions.numbers import percent, round_binary, rows
 from feedwright.functions.text import filled, malformed_zip, trimmed, valid_email_trimmed
 from feedwright.spec import COMPLETENESS_FIELDS, FEED_COLUMNS, FeedSpec
@@ -61,7 +62,7 @@ def _schema_check(feed: DataFrame) -> Column:
     """Needs the header only, so an empty feed with all columns passes it."""
     absent = [c for c in FEED_COLUMNS if c not in feed.columns]
     return F.struct(
-        F.lit("required_columns_present").alias("metric"),
+        F.lit(texts.METRIC_COLUMNS).alias("metric"),
         F.lit(f"{len(FEED_COLUMNS) - len(absent)}/{len(FEED_COLUMNS)}").alias("value"),
         F.lit("all").alias("threshold"),
         F.lit(f"FAIL: missing {absent}" if absent else "PASS").alias("status"),
@@ -82,16 +83,16 @@ def _checks(feed: DataFrame, spec: FeedSpec) -> DataFrame:
     )
     complete, match = spec.completeness_target, spec.matchability_target
     checks = [
-        _check("feed_row_count", _INFORM, "n", "n/a (informational)"),
-        _check("duplicate_customer_ids", _NONE, "n - ids", "0"),
-        _check("invalid_or_missing_email", _NONE, "bad_email", "0"),
+        _check(texts.METRIC_ROWS, _INFORM, "n", texts.INFORMATIONAL),
+        _check(texts.METRIC_DUPLICATES, _NONE, "n - ids", "0"),
+        _check(texts.METRIC_EMAIL, _NONE, "bad_email", "0"),
         *(
-            _check(f"completeness:{field}", _SHARE, field, f">={complete}%", complete)
+            _check(f"{texts.METRIC_COMPLETENESS}:{field}", _SHARE, field, f">={complete}%", complete)
             for field in COMPLETENESS_FIELDS
         ),
-        _check("hashed_email_coverage", _SHARE_OF, "hashed", f">={match}% (target)", match),
-        _check("matchability: valid email + hash", _SHARE_OF, "matchable", f">={match}% (target)", match),
-        _check("malformed_zip_present", _NONE, "bad_zip", "0"),
+        _check(texts.METRIC_HASH, _SHARE_OF, "hashed", f">={match}% (target)", match),
+        _check(texts.METRIC_MATCH, _SHARE_OF, "matchable", f">={match}% (target)", match),
+        _check(texts.METRIC_ZIP, _NONE, "bad_zip", "0"),
     ]
     counts = F.expr(f"array({', '.join(checks)})")
     judged = F.concat(F.array(_schema_check(feed)), F.transform(counts, _judged))
@@ -131,8 +132,8 @@ def clean_feed(feed: DataFrame) -> DataFrame:
     hashed = filled("hashed_email")
     notes = F.concat_ws(
         ";",
-        F.when(~hashed, "missing_hashed_email:unmatchable"),
-        F.when(~filled("zip_code"), "missing_zip"),
+        F.when(~hashed, texts.NOTE_HASH),
+        F.when(~filled("zip_code"), texts.NOTE_ZIP),
     )
     cleaned = _with_blanks(feed).withColumns(
         {

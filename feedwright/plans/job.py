@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from feedwright.operators import build, checks, identifiers, profile, validation
+from feedwright.plans.session import shuffle_partitions
 from feedwright.schemas import TABLES
 from feedwright.sources import contracts, csv, tables
 from feedwright.spec import FeedSpec
@@ -31,14 +32,16 @@ def land(
     """Load the four CSV tables into Parquet under the NOT NULL contract.
 
     A row that breaks the contract fails the load, or with `quarantine` goes to
-    `<out>/rejected/<table>`. `by_date` partitions events and orders by day, so that a
+    `<out>/rejected/<table>`; all rows are then staged in `<out>/staged/<table>` first. `by_date` partitions events and orders by day, so that a
     window reads its own days only.
     """
     landed = {}
     for name in TABLES:
         raw = csv.read_table(spark, name, paths[name], multiline)
         if quarantine:
-            kept, rejected = contracts.split_by_contract(raw, name)
+            # Parsed once: both halves are read from the staged rows.
+            staged = tables.store(contracts.with_violations(raw, name), f"{out}/staged/{name}")
+            kept, rejected = contracts.split_marked(staged)
             tables.store(rejected, f"{out}/rejected/{name}")
         else:
             kept = contracts.enforce_contract(raw, name)
@@ -46,21 +49,35 @@ def land(
     return build.Sources(**landed)
 
 
-def build_feed(sources: build.Sources, spec: FeedSpec, out: str) -> build.FeedTables:
-    """Store the deduplicated base, both rollups and the feed; export the feed as CSV."""
+def build_feed(sources: build.Sources, spec: FeedSpec, out: str, provision: bool = False) -> build.FeedTables:
+    """Store the deduplicated base, both rollups and the feed; export the feed as CSV.
+
+    `provision` fills in missing hashes of valid emails in the base. The four relations are
+    unique by customer and stored bucketed by it, so the feed and its audit do not shuffle them
+    again.
+    """
     lazy = build.build(sources, spec)
-    deduped = tables.store(lazy.deduped, f"{out}/tables/deduped_customers")
-    engagement = tables.store(lazy.engagement, f"{out}/tables/customer_engagement")
-    orders = tables.store(lazy.orders, f"{out}/tables/customer_orders")
-    feed = tables.store(build.audience_feed(deduped, engagement, orders, spec), f"{out}/tables/audience_feed")
+    buckets = shuffle_partitions(sources.customers.sparkSession)
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return tables.store_by_key(df, f"{out}/tables/{name}", "customer_id", buckets)
+
+    deduped = store(identifiers.provision_hash(lazy.deduped) if provision else lazy.deduped, "deduped_customers")
+    engagement = store(lazy.engagement, "customer_engagement")
+    orders = store(lazy.orders, "customer_orders")
+    feed = store(build.audience_feed(deduped, engagement, orders, spec), "audience_feed")
     csv.write_csv(feed, f"{out}/audience_feed")
     return build.FeedTables(deduped, engagement, orders, feed)
 
 
-def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpec) -> dict[str, DataFrame]:
-    """Every profile and check by name."""
+def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpec, out: str) -> dict[str, DataFrame]:
+    """Every profile and check by name. Two of the reports on events are read from one stored row.
+
+    With product ids that fit a broadcast, events and orders are read twice each.
+    """
     customers, events, products, orders = sources
     deduped, engagement, _, feed = built
+    of_events = tables.store(checks.event_profile(events, spec), f"{out}/audit_work/event_profile")
     return {
         "feed_preview": build.feed_preview(feed),
         "exclusion_funnel": profile.exclusion_funnel(deduped, engagement, feed),
@@ -71,10 +88,10 @@ def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpe
         "duplicate_customers": checks.duplicate_ids(customers),
         "optout_leakage": checks.optout_leakage(feed, deduped),
         "null_required_fields": checks.null_required_fields(feed),
-        "duplicate_feed_ids": checks.duplicate_ids(feed),
-        "event_date_quality": checks.event_date_quality(events, spec),
+        "duplicate_feed_ids": checks.duplicate_ids(feed, ordered=False),
+        "event_date_quality": of_events.drop("events_missing_customer_id"),
         "orphan_records": checks.orphan_records(deduped, events, products, orders),
-        "events_missing_customer": checks.events_missing_customer(events),
+        "events_missing_customer": of_events.select("events_missing_customer_id"),
         "matchability": profile.matchability(feed, spec),
         "missing_hash_diagnosis": profile.missing_hash_diagnosis(feed),
         "hash_consistency": identifiers.hash_consistency(customers),
@@ -86,22 +103,27 @@ def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpe
 
 def audit_feed(sources: build.Sources, built: build.FeedTables, spec: FeedSpec, out: str) -> None:
     """Write each report to `<out>/audit/<name>`."""
-    for name, report in audit_reports(sources, built, spec).items():
+    for name, report in audit_reports(sources, built, spec, out).items():
         csv.write_csv(report, f"{out}/audit/{name}")
 
 
 def validate_feed(spark: SparkSession, feed_path: str, spec: FeedSpec, out: str, multiline: bool = False) -> int:
     """Validate a delivered CSV feed; write the summary and the cleaned feed.
 
-    Returns 0 if it passes, 2 if a check fails, and 1 if there is no feed.
+    Rows with too few fields are filled with blanks, which the checks count; fields beyond the
+    header are left out, and how many rows have them is printed. Returns 0 if the feed passes, 2
+    if a check fails, and 1 if there is no feed.
     """
     try:
-        feed = csv.read_text(spark, feed_path, multiline)
+        feed = csv.read_delivered(spark, feed_path, multiline)
     except AnalysisException as error:
         if not csv.is_missing_path(error):
             raise
         print(f"Feed not found: {feed_path}. Build it first.", file=sys.stderr)
         return 1
+    [ragged] = csv.ragged_rows(spark, feed_path, multiline).collect()
+    if ragged["short_rows"] or ragged["long_rows"]:
+        print(f"Rows with too few fields: {ragged['short_rows']}, with too many: {ragged['long_rows']}.", file=sys.stderr)
     csv.write_csv(validation.validation_report(feed, spec), f"{out}/data_quality_summary")
     report = csv.read_text(spark, f"{out}/data_quality_summary")
     csv.write_csv(validation.clean_feed(feed), f"{out}/audience_feed_clean")

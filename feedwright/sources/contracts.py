@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +26,23 @@ def contract_violations(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def split_by_contract(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep the contract, and the others with the names of their null columns."""
+def with_violations(df: DataFrame, name: str) -> DataFrame:
+    """The rows with the names of their null mandatory columns; null where the contract is kept."""
     required = required_columns(TABLES[name])
-    broken = reduce(or_, (F.col(c).isNull() for c in required))
     named = F.concat_ws(";", *(F.when(F.col(c).isNull(), c) for c in required))
-    return df.filter(~broken), df.filter(broken).withColumn("violations", named)
+    return df.withColumn("violations", F.when(named != "", named))
+
+
+def split_by_contract(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep the contract, and the others with the names of their null columns.
+
+    Both read `df`; if that is dear to read, store `with_violations` of it and split that.
+    """
+    return split_marked(with_violations(df, name))
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return marked.filter("violations IS NULL").drop("violations"), marked.filter("violations IS NOT NULL")
 
 
 def enforce_contract(df: DataFrame, name: str) -> DataFrame:

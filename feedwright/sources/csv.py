@@ -17,6 +17,30 @@ def read_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFr
     return spark.read.options(**_FORMAT, enforceSchema=False, mode="FAILFAST", multiLine=multiline).csv(path)
 
 
+def read_delivered(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """A CSV as delivered by others, every column as text: a short row is filled with nulls, fields beyond the header are left out."""
+    return spark.read.options(**_FORMAT, enforceSchema=False, mode="PERMISSIVE", multiLine=multiline).csv(path)
+
+
+def ragged_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """One row: how many rows have fewer (`short_rows`) or more (`long_rows`) fields than the header."""
+    header = read_delivered(spark, path, multiline).columns
+    names = [f"c{i}" for i in range(len(header))]
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "raw"]])
+    # Without pruning every row is parsed whole, so that its number of fields is looked at.
+    parsed = spark.read.schema(fields).options(
+        **_FORMAT, mode="PERMISSIVE", multiLine=multiline, columnNameOfCorruptRecord="raw", columnPruning=False
+    ).csv(path)
+    ragged = F.col("raw").isNotNull()
+    # A row as expected has no raw text; Spark wants another column to be read beside it.
+    text = F.when(ragged, F.col("raw")).otherwise(F.col("c0"))
+    separators = F.length(F.regexp_replace(F.regexp_replace(text, '"(?:[^"]|"")*"', ""), "[^,]", ""))
+    return parsed.agg(
+        F.count_if(ragged & (separators < len(header) - 1)).alias("short_rows"),
+        F.count_if(ragged & (separators > len(header) - 1)).alias("long_rows"),
+    )
+
+
 def read_table(spark: SparkSession, name: str, path: str, multiline: bool = False) -> DataFrame:
     """A source table under its declared schema.
 

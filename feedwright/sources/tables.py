@@ -24,12 +24,32 @@ def store(df: DataFrame, path: str, partition_by: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def register_views(sources: Sources, tables: FeedTables, spec: FeedSpec) -> None:
-    """Make sources and derived relations available to `spark.sql`."""
+def store_by_key(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Replace the table at `path`, bucketed and sorted by `key`, and return it as stored.
+
+    For relations unique by `key`, which have no hot one: joins and groupings of such tables by
+    that key move no rows. `buckets` should be the number of partitions a shuffle starts with, as
+    rows that were shuffled by the key then go to one file a bucket. The files are plain Parquet;
+    that they are bucketed only this session's catalog knows.
+    """
+    spark = df.sparkSession
+    name = f"stored_{uuid.uuid4().hex}"
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def register_views(
+    sources: Sources, tables: FeedTables, spec: FeedSpec, small_products: bool | None = None
+) -> None:
+    """Make sources and derived relations available to `spark.sql`.
+
+    Measures the products of the category, which is a Spark job, unless `small_products` says
+    whether they fit a broadcast.
+    """
     for name, df in sources._asdict().items():
         df.createOrReplaceTempView(name)
     tables.deduped.createOrReplaceTempView("deduped_customers")
-    category_events(sources.events, sources.products, spec).createOrReplaceTempView("category_events")
+    category_events(sources.events, sources.products, spec, small_products).createOrReplaceTempView("category_events")
     tables.engagement.createOrReplaceTempView("customer_engagement")
     tables.orders.createOrReplaceTempView("customer_orders")
     tables.feed.createOrReplaceTempView("audience_feed")

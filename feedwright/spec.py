@@ -34,6 +34,28 @@ FEED_COLUMNS = (
 
 COMPLETENESS_FIELDS = ("zip_code", "product_category", "last_activity_date", "engagement_score")
 
+# Scoring, tiers, targets in percent and the days looked back on.
+SCORE_CAP = 100
+HIGH_SCORE = 10
+MEDIUM_SCORE = 4
+COMPLETENESS_TARGET = 95.0
+MATCHABILITY_TARGET = 70.0
+WINDOW_DAYS = 90
+
+# Texts of the reports.
+METRIC_COLUMNS = "required_columns_present"
+METRIC_ROWS = "feed_row_count"
+METRIC_DUPLICATES = "duplicate_customer_ids"
+METRIC_EMAIL = "invalid_or_missing_email"
+METRIC_COMPLETENESS = "completeness"
+METRIC_HASH = "hashed_email_coverage"
+METRIC_MATCH = "matchability: valid email + hash"
+METRIC_ZIP = "malformed_zip_present"
+INFORMATIONAL = "n/a (informational)"
+NOTE_HASH = "missing_hashed_email:unmatchable"
+NOTE_ZIP = "missing_zip"
+VERDICT_FAIL = "FAIL — see diagnosis below"
+
 # What an order of an unknown product is priced at, and the quantities sold.
 UNKNOWN_PRODUCT_PRICE = "50.00"
 ORDER_QUANTITIES = (1, 2, 3)
@@ -45,13 +67,13 @@ class FeedSpec:
     """Target category, activity window, scoring and thresholds of a feed."""
 
     as_of: date
-    category: str = "Skincare"
-    window_days: int = 90
-    score_cap: int = 100
-    high_score: int = 10
-    medium_score: int = 4
-    completeness_target: float = 95.0
-    matchability_target: float = 70.0
+    category: str
+    window_days: int = WINDOW_DAYS
+    score_cap: int = SCORE_CAP
+    high_score: int = HIGH_SCORE
+    medium_score: int = MEDIUM_SCORE
+    completeness_target: float = COMPLETENESS_TARGET
+    matchability_target: float = MATCHABILITY_TARGET
 
     @property
     def window_start(self) -> date:
@@ -59,6 +81,6 @@ class FeedSpec:
         return self.as_of - timedelta(days=self.window_days)
 
     @classmethod
-    def today(cls, **settings) -> FeedSpec:
-        """A window that ends today."""
-        return cls(as_of=date.today(), **settings)
+    def today(cls, category: str = "", **settings) -> FeedSpec:
+        """A window that ends today; validation needs no category."""
+        return cls(date.today(), category, **settings)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedwright.operators.build import Sources
 from feedwright.operators.joins import lookup_join
@@ -20,9 +21,17 @@ SPEC = FeedSpec(as_of=date(2024, 1, 24), category="PROMO", window_days=14)
 # How many rows a customer has: one, a newer one, or two newer ones with equal dates.
 COPIES = "CASE WHEN c_custkey % 150 = 110 THEN 3 WHEN c_custkey % 50 = 10 THEN 2 ELSE 1 END"
 
+
+
+def draw(salt: int) -> str:
+    """A number from 0 to 99 that depends on the customer and the salt, the same in both dialects."""
+    return f"((k + {salt}) * 48271 % 2147483647 % 100)"
+
+
+# Four in ten valid addresses have no hash.
 _HASH = (
     "CASE WHEN email_base LIKE 'User%' AND NOT (copy = 1 AND k % 150 = 10)"
-    " AND k % 16 NOT IN (0, 1, 3, 5, 6, 9, 11) THEN {sha} END"
+    f" AND {draw(1)} >= 40 THEN {{sha}} END"
 )
 
 CUSTOMER_BASE = {
@@ -34,6 +43,7 @@ CUSTOMER_BASE = {
         WHEN k % 100 = 47 THEN concat('user', k, '@mail.example.com.')
         WHEN k % 100 = 67 THEN concat('user', k, ' @ mail.example.com')
         WHEN k % 100 = 87 THEN concat('user', k, '@mail')
+        WHEN k % 100 = 37 THEN concat('user', k, '@mail.example.c')
         ELSE concat('User', k, '@mail.example.com') END""",
 }
 
@@ -41,20 +51,22 @@ CUSTOMERS = {
     "customer_id": "concat('C', k)",
     "email": "CASE WHEN copy = 1 AND k % 150 = 60 THEN NULL ELSE email_base END",
     "hashed_email": _HASH,
-    "zip_code": """CASE WHEN copy = 1 THEN '' WHEN copy = 2 THEN '99999'
-        WHEN k % 41 = 9 THEN '' WHEN k % 41 = 10 THEN NULL
-        WHEN k % 97 = 5 THEN '2108' ELSE concat('0', 2100 + k % 15) END""",
-    "opt_out_flag": "CASE WHEN k % 12 = 0 THEN 1 ELSE 0 END",
+    "zip_code": f"""CASE WHEN copy = 1 THEN '' WHEN copy = 2 THEN '99999'
+        WHEN {draw(2)} < 3 THEN '' WHEN {draw(2)} < 5 THEN NULL
+        WHEN {draw(2)} < 7 THEN '2108' ELSE concat('0', 2100 + k % 15) END""",
+    "opt_out_flag": f"CASE WHEN {draw(3)} < 9 THEN 1 ELSE 0 END",
     "created_date": """CASE WHEN copy = 0 THEN DATE '2021-01-01' + CAST((k * 37) % 700 AS INT)
         ELSE DATE '2023-12-01' + CAST(k % 60 AS INT) END""",
 }
 
-# Each user stands for ten customers, the first of whom gets about half of the activity.
-# 'error' events become an event type without weight.
+# Each user stands for ten customers, the first of whom gets about half of the activity. One
+# customer has a fifth of all events, so that a score passes the cap. 'error' events become an
+# event type without weight.
 EVENTS = {
     "event_id": "concat('E', event_id)",
     "customer_id": """CASE WHEN event_id % 50 = 7 THEN NULL WHEN event_id % 50 = 8 THEN ''
         WHEN event_id % 50 = 13 THEN concat('CX', event_id)
+        WHEN event_id % 5 = 1 THEN 'C10'
         WHEN event_id % 7 < 3 THEN concat('C', user_id * 10)
         ELSE concat('C', user_id * 10 + event_id % 97 % 10) END""",
     "event_type": """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view'
@@ -72,6 +84,14 @@ PRODUCTS = {
     "premium_flag": "CASE WHEN p_retailprice >= 910 THEN 1 ELSE 0 END",
 }
 
+# Products that are listed a second time, and what differs there.
+LISTED_TWICE = "p_partkey % 10 IN (3, 7, 8)"
+SECOND_LISTING = PRODUCTS | {
+    "category": "CASE WHEN p_partkey % 10 = 7 THEN 'PROMO' ELSE p_type END",
+    "price": "CAST(p_retailprice - 1 AS DECIMAL(10,2))",
+    "premium_flag": "CASE WHEN p_retailprice < 910 THEN 1 ELSE 0 END",
+}
+
 # Every fourth customer's orders go to the neighbour, so some customers have none.
 ORDERS = {
     "order_id": "concat('O', o_orderkey)",
@@ -145,7 +165,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").selectExpr(*columns(PRODUCTS, SPARK))
+    part = _table(spark, sf_dir, "part")
+    second = part.filter(LISTED_TWICE).selectExpr(*columns(SECOND_LISTING, SPARK))
+    return part.selectExpr(*columns(PRODUCTS, SPARK)).unionAll(second)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +186,7 @@ def replace_columns(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose value is a multiple of the price of their product."""
-    prices = products(spark, sf_dir).select("product_id", "price")
+    prices = products(spark, sf_dir).groupBy("product_id").agg(F.max("price").alias("price"))
     priced = lookup_join(orders(spark, sf_dir), prices, "product_id", "left")
     return replace_columns(priced, {"order_value": PRICED_VALUE}).drop("price")
 

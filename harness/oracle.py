@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from feedwright.functions.text import WHITE_SPACE
-from feedwright.schemas import TABLES, required_columns
+from feedwright.schemas import DEFAULTS, TABLES, required_columns
 from feedwright.spec import COMPLETENESS_FIELDS, EMAIL_PATTERN, FEED_COLUMNS, ZIP_PATTERN
 from harness import fixtures as fx
 
@@ -39,13 +39,13 @@ def _nulled(name: str) -> str:
 
 _MATCHABLE = f"({_valid()} AND {_has('hashed_email')})"
 
-_FEED_OF = """
+_FEED_OF = f"""
  SELECT d.customer_id, d.email, d.hashed_email, d.zip_code, 'PROMO' AS product_category,
         g.last_activity_date, ifnull(o.total_purchases, 0) AS total_purchases,
         CAST(ifnull(o.total_spend, 0) AS DECIMAL(20,2)) AS total_spend,
         g.engagement_score, g.premium_interaction_flag,
-        list_extract(['low', 'medium', 'high'],
-                     1 + CAST(g.engagement_score >= 4 AS INT) + CAST(g.engagement_score >= 10 AS INT)) AS engagement_tier
+        CASE WHEN g.engagement_score < {_SPEC.medium_score} THEN 'low'
+             WHEN g.engagement_score < {_SPEC.high_score} THEN 'medium' ELSE 'high' END AS engagement_tier
  FROM deduped d JOIN engagement g USING (customer_id) LEFT JOIN order_rollup o USING (customer_id)"""
 
 _CTES = {
@@ -53,7 +53,10 @@ _CTES = {
     "customer_base": _select(fx.CUSTOMER_BASE, "customer_copies"),
     "src_customers": _select(fx.CUSTOMERS, "customer_base"),
     "src_events": _select(fx.EVENTS, "events"),
-    "src_products": _select(fx.PRODUCTS, "part"),
+    "src_products": _select(fx.PRODUCTS, "part")
+    + " UNION ALL "
+    + _select(fx.SECOND_LISTING, "part")
+    + f" WHERE {fx.LISTED_TWICE}",
     "src_orders": _select(fx.ORDERS, "orders"),
     "deduped": f"""
  SELECT * FROM src_customers
@@ -83,7 +86,8 @@ _CTES = {
     "damaged_feed": _replaced(list(FEED_COLUMNS), fx.DAMAGED, "leaky_feed"),
     "priced_orders": "SELECT o.order_id, o.product_id, p.price AS list_price, "
     + fx.PRICED_VALUE.replace("order_id", "o.order_id")
-    + " AS order_value FROM src_orders o LEFT JOIN src_products p USING (product_id)",
+    + " AS order_value FROM src_orders o LEFT JOIN"
+    " (SELECT product_id, max(price) AS price FROM src_products GROUP BY ALL) p USING (product_id)",
 }
 
 _CTES |= {f"nulled_{name}": _nulled(name) for name in TABLES}
@@ -167,6 +171,16 @@ def _report_rows(feed: str) -> str:
  report AS ({rows})"""
 
 
+def _landed(name: str) -> str:
+    """Rows kept and set aside; the flag columns are not in the files, so every row has the default."""
+    default = next(iter(DEFAULTS.get(name, {})), None)
+    checked = [c for c in required_columns(TABLES[name]) if c != default]
+    broken = " OR ".join(f"{c} IS NULL" for c in checked)
+    flagged = f"count(*) FILTER (NOT ({broken}))" if default else "CAST(0 AS BIGINT)"
+    return f"""SELECT '{name}' AS table_name, count(*) FILTER (NOT ({broken})) AS kept_rows,
+   count(*) FILTER ({broken}) AS rejected_rows, {flagged} AS default_rows FROM nulled_{name}"""
+
+
 def _report(feed: str) -> str:
     return f"WITH {_report_rows(feed)} SELECT metric, value, threshold, status FROM report"
 
@@ -280,6 +294,12 @@ _FINAL = {
     "csv_roundtrip": "SELECT " + ", ".join(
         f"NULLIF(CAST({c} AS VARCHAR), '') AS {c}" for c in FEED_COLUMNS
     ) + " FROM feed",
+    "validated_csv_report": _report("damaged_feed"),
+    "validated_csv_clean": "SELECT "
+    + ", ".join(f"NULLIF(CAST({c} AS VARCHAR), '') AS {c}" for c in (*FEED_COLUMNS, "matchable_flag", "dq_notes"))
+    + f" FROM ({_clean('damaged_feed')})",
+    "landed_quarantine": " UNION ALL ".join(_landed(name) for name in TABLES),
+    "view_preview": "SELECT * FROM feed ORDER BY engagement_score DESC, customer_id LIMIT 20",
     "feed_from_csv": "SELECT * REPLACE (NULLIF(zip_code, '') AS zip_code) FROM feed",
 }
 

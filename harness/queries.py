@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feedwright.functions.numbers import rows
 from feedwright.operators import build, checks, identifiers, profile, validation
 from feedwright.plans import job
-from feedwright.schemas import TABLES
+from feedwright.schemas import DEFAULTS, TABLES
 from feedwright.sources import contracts, csv, tables
 from harness import fixtures as fx
 
@@ -133,6 +133,45 @@ def _feed_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.build_feed(job.land(spark, paths, folder), SPEC, folder).feed
 
 
+def _validated_csv(output: str) -> Query:
+    """The damaged feed delivered as CSV, validated, and one of the written outputs read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = tables.work_folder(spark)
+        csv.write_csv(_damaged(_built(spark, sf_dir)), f"{folder}/feed")
+        job.validate_feed(spark, f"{folder}/feed", SPEC, folder)
+        return csv.read_text(spark, f"{folder}/{output}")
+
+    return query
+
+
+def _landed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with nulls in mandatory columns, in CSV files without the flag columns, loaded with the bad rows set aside."""
+    folder = tables.work_folder(spark)
+    paths = {}
+    for name, df in _nulled(spark, sf_dir).items():
+        paths[name] = f"{folder}/csv/{name}"
+        csv.write_csv(df.drop(*DEFAULTS.get(name, {})), paths[name])
+    landed = job.land(spark, paths, folder, quarantine=True)._asdict()
+
+    def counted(name: str) -> DataFrame:
+        kept = landed[name]
+        default = [F.col(c) == value for c, value in DEFAULTS.get(name, {}).items()]
+        kept_counts = kept.agg(rows().alias("kept_rows"), (F.count_if(default[0]) if default else F.lit(0).cast("bigint")).alias("default_rows"))
+        rejected = spark.read.parquet(f"{folder}/rejected/{name}").agg(rows().alias("rejected_rows"))
+        both = kept_counts.unionByName(rejected, allowMissingColumns=True)
+        sums = both.agg(*(F.max(c).alias(c) for c in ("kept_rows", "rejected_rows", "default_rows")))
+        return sums.select(F.lit(name).alias("table_name"), "kept_rows", "rejected_rows", "default_rows")
+
+    return reduce(DataFrame.unionAll, map(counted, TABLES))
+
+
+def _view_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preview in SQL over the registered views."""
+    tables.register_views(fx.sources(spark, sf_dir), _built(spark, sf_dir), SPEC)
+    return spark.sql("SELECT * FROM audience_feed ORDER BY engagement_score DESC, customer_id LIMIT 20")
+
+
 QUERIES: dict[str, Query] = {
     "deduped_customers": _deduped,
     "category_events": _category_events,
@@ -150,8 +189,8 @@ QUERIES: dict[str, Query] = {
     "optout_leakage": _optout_leakage(damaged=False),
     "optout_leakage_damaged": _optout_leakage(damaged=True),
     "null_required_fields": _over_feed(checks.null_required_fields),
-    "duplicate_feed_ids": _over_feed(checks.duplicate_ids),
-    "duplicate_feed_ids_damaged": _over_damaged(checks.duplicate_ids),
+    "duplicate_feed_ids": _over_feed(lambda feed: checks.duplicate_ids(feed, ordered=False)),
+    "duplicate_feed_ids_damaged": _over_damaged(lambda feed: checks.duplicate_ids(feed, ordered=False)),
     "event_date_quality": _event_date_quality,
     "orphan_records": _orphan_records,
     "events_missing_customer": lambda spark, sf_dir: checks.events_missing_customer(fx.events(spark, sf_dir)),
@@ -171,5 +210,9 @@ QUERIES: dict[str, Query] = {
     "contract_violations": _contract_violations,
     "contract_rejects": _contract_rejects,
     "csv_roundtrip": _csv_roundtrip,
+    "validated_csv_report": _validated_csv("data_quality_summary"),
+    "validated_csv_clean": _validated_csv("audience_feed_clean"),
+    "landed_quarantine": _landed_quarantine,
+    "view_preview": _view_preview,
     "feed_from_csv": _feed_from_csv,
 }

@@ -1,13 +1,18 @@
+import hashlib
+import subprocess
+import sys
 from datetime import date
+from pathlib import Path
 
 import pytest
 
 from feedwright import FeedSpec
 from feedwright.__main__ import main
+from feedwright.operators import build
 from feedwright.plans import job
-from feedwright.sources import csv
+from feedwright.sources import contracts, csv
 
-from helpers import JOB_FAILURES, tuples
+from helpers import JOB_FAILURES, plan, tuples
 
 FILES = {
     "customers": """customer_id,email,hashed_email,zip_code,opt_out_flag,created_date
@@ -45,7 +50,7 @@ def inputs(tmp_path):
 
 def build_args(folder, *more):
     files = [arg for name in FILES for arg in (f"--{name}", str(folder / f"{name}.csv"))]
-    return ["build", *files, "--out", str(folder / "out"), "--as-of", "2026-09-21", *more]
+    return ["build", *files, "--out", str(folder / "out"), "--as-of", "2026-09-21", "--category", "Skincare", *more]
 
 
 def report(spark, folder, name):
@@ -118,6 +123,93 @@ def test_nulls_in_mandatory_columns(spark, inputs):
     assert [row[0] for row in report(spark, inputs, "audience_feed")] == ["C1"]
 
 
+HEADER = (
+    "customer_id,email,hashed_email,zip_code,product_category,last_activity_date,total_purchases,total_spend,"
+    "engagement_score,premium_interaction_flag,engagement_tier\n"
+)
+
+
+def validated(spark, folder, text):
+    """Exit status, values by metric, and the cleaned rows of a delivered file."""
+    (folder / "feed.csv").write_text(text)
+    status = main(["validate", "--feed", str(folder / "feed.csv"), "--out", str(folder / "out")])
+    rows = csv.read_text(spark, str(folder / "out" / "data_quality_summary")).collect()
+    return status, {row["metric"]: (row["value"], row["status"]) for row in rows}, report(spark, folder, "audience_feed_clean")
+
+
+def test_short_and_long_rows_are_filled_counted_and_told(spark, tmp_path, capsys):
+    text = HEADER + "C1,a@b.com,h,02108,Skincare,2026-09-01,0,0.00,1,0,low\nC2,b@b.com,h\nC3,c@b.com,h,02108,Skincare,2026-09-01,0,0.00,1,0,low,more\n"
+    status, metrics, clean = validated(spark, tmp_path, text)
+    assert status == 2 and metrics["feed_row_count"] == ("3", "INFO")
+    assert metrics["completeness:zip_code"] == ("66.7%", "FAIL")
+    assert "too few fields: 1, with too many: 1" in capsys.readouterr().err
+    assert [(row[0], row[3], row[-1]) for row in clean] == [("C1", "02108", None), ("C2", None, "missing_zip"), ("C3", "02108", None)]
+
+
+def test_a_feed_without_rows_fails(spark, tmp_path):
+    status, metrics, clean = validated(spark, tmp_path, HEADER)
+    assert (status, clean) == (2, [])
+    assert metrics["required_columns_present"] == ("11/11", "PASS") and metrics["hashed_email_coverage"] == ("0.0% (0/0)", "FAIL")
+
+
+def test_a_feed_without_a_column_fails(spark, tmp_path):
+    header = HEADER.replace("zip_code,", "")
+    status, metrics, clean = validated(spark, tmp_path, header + "C1,a@b.com,h,Skincare,2026-09-01,0,0.00,1,0,low\n")
+    assert status == 2 and metrics["required_columns_present"] == ("10/11", "FAIL: missing ['zip_code']")
+    assert metrics["completeness:zip_code"] == ("0.0%", "FAIL") and clean[0][-1] == "missing_zip"
+
+
+def test_an_error_is_no_missing_feed(tmp_path):
+    """Status 1 is kept for a feed that is not there."""
+    root = Path(__file__).resolve().parent.parent
+    (tmp_path / "file").write_text("")
+    command = [sys.executable, "-m", "feedwright", "validate", "--feed", "nosuch://x/feed", "--out", str(tmp_path / "file" / "out")]
+    assert subprocess.run(command, cwd=root, capture_output=True, check=False).returncode == 3
+
+
+def test_hashes_are_provisioned_on_demand(spark, inputs):
+    assert main(build_args(inputs, "--provision-hash")) == 0
+    hashes = {row[0]: row[2] for row in report(spark, inputs, "audience_feed")}
+    assert hashes == {"C1": "h1", "C2": hashlib.sha256(b"bob@b.com").hexdigest()}
+
+
+def test_quarantined_files_are_parsed_once(spark, inputs, monkeypatch):
+    texts = []
+    split = contracts.split_marked
+    monkeypatch.setattr(contracts, "split_marked", lambda marked: texts.append(plan(marked)) or split(marked))
+    job.land(spark, {name: str(inputs / f"{name}.csv") for name in FILES}, str(inputs / "out"), quarantine=True)
+    assert len(texts) == 4 and all("Scan parquet" in text and "Scan csv" not in text for text in texts)
+
+
+def count_scans(text, table):
+    """Scans of a stored table in a formatted plan."""
+    return sum(f"/tables/{table}]" in line for line in text.splitlines() if "Location" in line)
+
+
+def test_stored_relations_move_no_rows_again(spark, inputs):
+    """Feed, funnel and leakage read buckets; the audit reads events and orders twice each."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = str(inputs / "out")
+        sources = job.land(spark, {name: str(inputs / f"{name}.csv") for name in FILES}, out)
+        spec = FeedSpec(date(2026, 9, 21), "Skincare")
+        built = job.build_feed(sources, spec, out)
+        again = build.audience_feed(built.deduped, built.engagement, built.orders, spec)
+        reports = job.audit_reports(sources, built, spec, out)
+        for df in (again, reports["exclusion_funnel"], reports["optout_leakage"], reports["duplicate_feed_ids"]):
+            assert "Exchange hashpartitioning(customer_id" not in plan(df, "simple")
+        texts = [plan(df) for df in reports.values()]
+        # One more of events has been run for the stored event profile.
+        assert sum(count_scans(t, "events") for t in texts) == 1
+        assert sum(count_scans(t, "orders") for t in texts) == 2
+        orphans = plan(reports["orphan_records"])
+        assert (count_scans(orphans, "events"), count_scans(orphans, "orders")) == (1, 1)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_window_defaults_to_today(monkeypatch):
     spec = FeedSpec.today(category="Tools")
     assert (spec.as_of, spec.category, spec.window_days) == (date.today(), "Tools", 90)
