@@ -51,7 +51,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     rest = groups.join(F.broadcast(top.select(*keys)), keys, "left_anti")
     rest = rest.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.lit(0).alias("_apart"), F.struct(*values).alias("_rest"))
     found = rows.join(F.broadcast(heavy), keys, "left")
-    found = found.withColumn("_apart_l", F.when(F.col("_heavy").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("rid"), F.lit(1 << 20)).cast("int")))
+    anywhere = 1 + F.pmod(F.xxhash64("rid"), F.lit(1 << 20)).cast("int")
+    found = found.withColumn("_apart_l", F.when(F.col("_heavy").isNull(), F.lit(0)).otherwise(anywhere))
     match = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)] + [F.col("_apart_l") == F.col("_apart")]
     condition = match[0]
     for part in match[1:]:

@@ -71,7 +71,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     best = F.max(F.struct("id", "rid"))
     kept = equal.groupBy("round", "part").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     decided = join_groups(equal, stored(kept), ["round", "part"], "group_size")
-    decided = decided.select(F.col("rid").alias("_rid"), F.col("best.id").alias("keep_id"), "group_size", (F.col("best.rid") == F.col("rid")).alias("kept"))
+    decided = decided.select(
+        F.col("rid").alias("_rid"),
+        F.col("best.id").alias("keep_id"),
+        "group_size",
+        (F.col("best.rid") == F.col("rid")).alias("kept"),
+    )
 
     whole = [F.col(f"doc.`{c}`").alias(c) for c in columns]
     own = F.col(f"doc.`{id_col}`")
@@ -82,5 +87,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
         F.coalesce("kept", F.lit(True)).alias("kept"),
     )
-    alone = placed.filter("part IS NULL").select(*whole, own.alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"))
+    one = F.lit(1).cast("bigint")
+    alone = placed.filter("part IS NULL").select(
+        *whole, own.alias("keep_id"), one.alias("group_size"), F.lit(True).alias("kept")
+    )
     return alone.unionAll(shared)

@@ -143,7 +143,8 @@ def plan_mix(docs: DataFrame, block: int = BLOCK, **targets) -> DataFrame:
     """
     results = ["source_size", "target", "copies", "taken"]
     whole_rows = F.struct(*(c for c in docs.columns if c not in results)).alias("row")
-    rows = docs.select(whole_rows, "doc_id", "source", F.coalesce("size", F.lit(0)).cast("bigint").alias("size"), F.monotonically_increasing_id().alias("rid"))
+    size = F.coalesce("size", F.lit(0)).cast("bigint").alias("size")
+    rows = docs.select(whole_rows, "doc_id", "source", size, F.monotonically_increasing_id().alias("rid"))
     rows = stored(rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))))
 
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))

@@ -116,7 +116,8 @@ def _search(pivots: np.ndarray, prefix: int, k: int) -> Search:
                 out[0].extend([query] * len(top))
                 out[1].extend(ids[best[top]])
                 out[2].extend(score[top])
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
+        columns = [pa.array(values, kind) for values, kind in zip(out, (pa.int64(), pa.int64(), pa.float64()))]
+        return pa.table(columns, ["query_id", "vec_id", "score"])
 
     return search
 
@@ -152,8 +153,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     prefix = max(1, len(pivots) * PREFIX // PIVOTS)
 
     blocks, turns = -(-n // BLOCK), max(1, -(-asked.count() // QUERIES))
-    own = usable.withColumn("block", F.pmod(place, F.lit(blocks))).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
-    met = asked.withColumn("turn", F.pmod(place, F.lit(turns)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    each_turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))
+    each_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
+    own = usable.withColumn("block", F.pmod(place, F.lit(blocks))).withColumn("turn", each_turn)
+    met = asked.withColumn("turn", F.pmod(place, F.lit(turns)).cast("int")).withColumn("block", each_block)
     found = own.groupBy("block", "turn").cogroup(met.groupBy("block", "turn")).applyInArrow(_search(pivots, prefix, k), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = stored(found).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -148,8 +148,18 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN)
     # Broadcast: at most max_train rows of two numbers.
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     # Repeated ids give one row each up to the same bound.
-    rows = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_train).select("doc_id", "quality", counted("text").alias("f")).collect()
-    return train([(np.frombuffer(r["f"]["at"], np.int32).astype(np.int64), np.frombuffer(r["f"]["n"], np.float32).astype(np.float64), int(r["quality"] >= 1)) for r in rows])
+    first = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_train)
+    rows = first.select("quality", counted("text").alias("found")).select("quality", "found.*").collect()
+    return train(
+        [
+            (
+                np.frombuffer(r["at"], np.int32).astype(np.int64),
+                np.frombuffer(r["n"], np.float32).astype(np.float64),
+                int(r["quality"] >= 1),
+            )
+            for r in rows
+        ]
+    )
 
 
 def held_out() -> F.Column:

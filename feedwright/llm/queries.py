@@ -15,7 +15,8 @@ TOKENIZER = "word_bpe_49k.json"
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return marked.select("doc_id", "keep_id", "group_size", "kept", F.sha2(ascii_lower(F.col("text")).cast("binary"), 256).alias("text_sha256"))
+    digest = F.sha2(ascii_lower(F.col("text")).cast("binary"), 256)
+    return marked.select("doc_id", "keep_id", "group_size", "kept", digest.alias("text_sha256"))
 
 
 def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
 
     base = F.filter("findings", lambda f: f["kind"] != "guess")
-    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"), of("guess"))
+    return found.select(
+        "doc_id",
+        of("assign"),
+        of("access"),
+        of("hex"),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("findings")).alias("spans"),
+        of("guess"),
+    )
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

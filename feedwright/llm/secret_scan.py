@@ -27,7 +27,8 @@ KINDS = ("assign", "access", "hex", "guess")
 
 # A context is one of these names, an optional quote, a separator, and then the value.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|secret|auth|encryption|client)[_ -]?key|bearer|auth(?:orization)?)"""
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth(?:orization)?"""
+    r"""|(?:api|access|private|secret|auth|encryption|client)[_ -]?key)"""
     r"""["']?\x20*(?:[:=]|\x20is\x20)\x20*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>,;]+))""",
     re.I | re.A,
 )
@@ -52,7 +53,8 @@ LEET = str.maketrans("@4310$5!7", "aaeiossit")
 ANY_WORD = 5.0
 WORDLIKE = re.compile(r"[^\W\d_]{3,}")
 VOWELS = frozenset("aeiouyáàâäãåæéèêëíìîïóòôöõøœúùûüýÿ")
-DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+YEAR, MONTH, DAY = r"(?:19|20)\d\d", "(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
+DATE = re.compile(rf"{YEAR}([-/._]?){MONTH}\1{DAY}|{DAY}([-/._]?){MONTH}\2{YEAR}|{YEAR}")
 # Days of two centuries.
 DATE_COST = log10(200 * 365)
 REPEAT = re.compile(r"(.{1,8}?)\1{2,}", re.S)

@@ -32,6 +32,8 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 GENERATOR = 0b101011100011
 # Fingerprints of one key that are compared in one task; more are dealt out in pairs of cells.
 CELL = 4096
+# So many keys of more than a cell are broadcast at most.
+HOT_KEYS = 100_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -216,7 +218,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     hot = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL))
     cells = F.ceil(F.col("n") / CELL).cast("int")
     # Few keys are hot: each has over CELL fingerprints.
-    spread = keys.join(hot.hint("merge") if hot.count() > 100_000 else F.broadcast(hot), "key", "left").withColumn("cells", F.coalesce(cells, F.lit(1)))
+    listed = hot.hint("merge") if hot.count() > HOT_KEYS else F.broadcast(hot)
+    spread = keys.join(listed, "key", "left").withColumn("cells", F.coalesce(cells, F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("cells")).cast("int")
     # A fingerprint of cell c meets every cell d, in the task of (c, d) or (d, c).
     dealt = spread.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
@@ -259,11 +262,18 @@ def components(links: DataFrame) -> DataFrame:
         pairs = stored(star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False))
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
-            return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(pairs.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+            roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+            return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots)
         state = now
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, keep: list[str] | None = None) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    keep: list[str] | None = None,
+) -> DataFrame:
     """`docs` (or its columns `keep`) with fingerprint, component_id and kept.
 
     component_id is the least doc_id reachable over links; of a component one row of that id is
@@ -279,7 +289,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", shingle: int = SHIN
     source = docs.select(F.struct(*columns).alias("doc"), "doc_id", F.col(text_col).alias("_text"))
     rows = fingerprints(source, "_text", "fp", shingle)
     rows = stored(rows.drop("_text").withColumn("rid", F.monotonically_increasing_id()))
-    distinct = stored(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least"), F.count(F.lit(1)).alias("rows")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
+    distinct = stored(rows.groupBy("fp").agg(first.alias("least"), F.count(F.lit(1)).alias("rows")))
     roots = components(near_links(distinct, max_bits))
     rooted = distinct.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("least").alias("first"))
