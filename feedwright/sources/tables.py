@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,11 +58,19 @@ def register_views(
     tables.feed.createOrReplaceTempView("audience_feed")
 
 
+@cache
+def _local_folder() -> str:
+    """One folder for this process, removed when it ends: until then results are read from it."""
+    folder = tempfile.mkdtemp(prefix="feedwright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder below `spark.checkpoint.dir`; only a local session may go without that setting."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="feedwright-")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/feedwright-{uuid.uuid4().hex}"
