@@ -26,7 +26,7 @@ BUCKETS = 1 << 17
 DIM = 8
 GRAMS = (2, 3, 4)
 # Labelled documents to learn from, at most; their features are what the driver holds.
-MAX_TRAIN = 3000
+MAX_TRAIN = 2000
 EPOCHS = 8
 RATE = 0.5
 BATCH = 16
@@ -111,7 +111,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
         for start in range(0, len(order), BATCH):
             batch = [docs[i] for i in order[start : start + BATCH]]
             at = np.concatenate([d[0] for d in batch])
-            share = np.concatenate([d[1] / max(d[1].sum(), 1) for d in batch])
+            share = np.concatenate([d[1].astype(np.float64) / max(d[1].sum(), 1) for d in batch])
             owner = np.repeat(np.arange(len(batch)), [len(d[0]) for d in batch])
             mean = np.stack([np.bincount(owner, share * column, len(batch)) for column in vectors[at].T], axis=1)
             logits = mean @ output + bias
@@ -150,16 +150,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN)
     # Repeated ids give one row each up to the same bound.
     first = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_train)
     rows = first.select("quality", counted("text").alias("found")).select("quality", "found.*").collect()
-    return train(
-        [
-            (
-                np.frombuffer(r["at"], np.int32).astype(np.int64),
-                np.frombuffer(r["n"], np.float32).astype(np.float64),
-                int(r["quality"] >= 1),
-            )
-            for r in rows
-        ]
-    )
+    return train([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.float32), int(r["quality"] >= 1)) for r in rows])
 
 
 def held_out() -> F.Column:
