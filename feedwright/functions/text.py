@@ -7,6 +7,9 @@ white space.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,6 +57,12 @@ def valid_email(c: Column | str) -> Column:
     return c.isNotNull() & c.rlike(EMAIL_PATTERN)
 
 
+def incomplete() -> Column:
+    """A feed row without a ZIP, or with a null in another field needed for delivery."""
+    nullable = ("product_category", "last_activity_date", "engagement_score")
+    return reduce(or_, (F.col(c).isNull() for c in nullable), missing("zip_code"))
+
+
 def invalid_email(c: Column | str) -> Column:
     """Present but not well-formed."""
     c = _column(c)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import rows
-from feedwright.functions.text import missing, present
+from feedwright.functions.text import incomplete, missing, present
 from feedwright.operators.joins import count_by_match, fits_broadcast
 from feedwright.spec import FeedSpec
 
@@ -29,13 +29,7 @@ def optout_leakage(feed: DataFrame, deduped: DataFrame) -> DataFrame:
 
 def null_required_fields(feed: DataFrame) -> DataFrame:
     """Feed rows without a ZIP or with a null in another field needed for delivery."""
-    incomplete = (
-        missing("zip_code")
-        | F.col("product_category").isNull()
-        | F.col("last_activity_date").isNull()
-        | F.col("engagement_score").isNull()
-    )
-    return feed.agg(F.count_if(incomplete).alias("rows_with_null_required_fields"))
+    return feed.agg(F.count_if(incomplete()).alias("rows_with_null_required_fields"))
 
 
 def _date_counts(spec: FeedSpec) -> list[Column]:

@@ -1,7 +1,8 @@
 """Profiles of the feed and its sources: coverage, completeness, identifiers, matchability.
 
 Every profile is one aggregate over one pass; where the result has a row per
-measure, the single aggregate row is unfolded afterwards.
+measure, the single aggregate row is unfolded afterwards. Those that count rows of the feed
+can share one aggregate: `feed_counts`, stored and passed on as `counts`.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import percent, round_scaled, rows
-from feedwright.functions.text import invalid_email, missing, present, valid_email
+from feedwright.functions.text import incomplete, invalid_email, missing, present, valid_email
 from feedwright.spec import COMPLETENESS_FIELDS, VERDICT_FAIL, FeedSpec
 
 
@@ -24,6 +25,29 @@ def _unfold(row: DataFrame, *records: Column) -> DataFrame:
     return row.select(F.inline(F.array(*records)))
 
 
+def feed_counts(feed: DataFrame) -> DataFrame:
+    """All counts over the feed that the profiles need, in one row. What a profile does not use is not computed for it."""
+    text = {name for name, kind in feed.dtypes if kind == "string"}
+    matchable = valid_email("email") & present("hashed_email")
+    return feed.agg(
+        rows().alias("feed_rows"),
+        *(
+            F.count_if(present(field) if field in text else F.col(field).isNotNull()).alias(field)
+            for field in COMPLETENESS_FIELDS
+        ),
+        F.count_if(incomplete()).alias("rows_with_null_required_fields"),
+        F.count_if(present("hashed_email")).alias("with_hash"),
+        F.count_if(missing("hashed_email")).alias("missing_hash"),
+        F.count_if(matchable).alias("matchable_rows"),
+        F.sum("total_spend").cast("decimal(30,2)").alias("all_spend"),
+        F.sum(F.when(matchable, F.col("total_spend"))).cast("decimal(30,2)").alias("matchable_spend"),
+    )
+
+
+def _counts(feed: DataFrame, counts: DataFrame | None) -> DataFrame:
+    return feed_counts(feed) if counts is None else counts
+
+
 def exclusion_funnel(deduped: DataFrame, engagement: DataFrame, feed: DataFrame) -> DataFrame:
     """Customers at each stage from engaged to delivered, with their share of the engaged.
 
@@ -76,26 +100,18 @@ def tier_composition(feed: DataFrame) -> DataFrame:
     )
 
 
-def field_completeness(feed: DataFrame) -> DataFrame:
+def field_completeness(feed: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Populated rows of each field needed for delivery. A text field must not be empty either."""
-    text = {name for name, kind in feed.dtypes if kind == "string"}
-    counted = feed.agg(
-        rows().alias("total_rows"),
-        *(
-            F.count_if(present(field) if field in text else F.col(field).isNotNull()).alias(field)
-            for field in COMPLETENESS_FIELDS
-        ),
-    )
     fields = [
         F.struct(
             F.lit(field).alias("field"),
-            F.col("total_rows"),
+            F.col("feed_rows").alias("total_rows"),
             F.col(field).alias("populated_rows"),
-            _pct(field, "total_rows").alias("completeness_pct"),
+            _pct(field, "feed_rows").alias("completeness_pct"),
         )
         for field in COMPLETENESS_FIELDS
     ]
-    return _unfold(counted, *fields)
+    return _unfold(_counts(feed, counts), *fields)
 
 
 def email_quality(deduped: DataFrame) -> DataFrame:
@@ -118,29 +134,20 @@ def email_quality(deduped: DataFrame) -> DataFrame:
     )
 
 
-def hash_coverage(feed: DataFrame) -> DataFrame:
-    counted = feed.agg(
-        rows().alias("feed_rows"),
-        F.count_if(present("hashed_email")).alias("with_hash"),
-        F.count_if(missing("hashed_email")).alias("missing_hash"),
-    )
-    return counted.select(
+def hash_coverage(feed: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    return _counts(feed, counts).select(
         "feed_rows", "with_hash", _pct("with_hash", "feed_rows").alias("hash_coverage_pct"), "missing_hash"
     )
 
 
-def matchability(feed: DataFrame, spec: FeedSpec) -> DataFrame:
+def matchability(feed: DataFrame, spec: FeedSpec, counts: DataFrame | None = None) -> DataFrame:
     """Share of rows with a valid email and a hash against the target.
 
     The exact share is compared, not the rounded one. An empty feed has no share
     and fails.
     """
-    counted = feed.agg(
-        rows().alias("feed_rows"),
-        F.count_if(valid_email("email") & present("hashed_email")).alias("matchable_rows"),
-    )
     share = percent(F.col("matchable_rows"), F.col("feed_rows"))
-    return counted.select(
+    return _counts(feed, counts).select(
         F.lit(spec.matchability_target).alias("target_matchability_pct"),
         round_scaled(share).alias("actual_matchability_pct"),
         "feed_rows",
@@ -150,22 +157,14 @@ def matchability(feed: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
-def missing_hash_diagnosis(feed: DataFrame) -> DataFrame:
-    counted = feed.agg(rows().alias("feed_rows"), F.count_if(missing("hashed_email")).alias("feed_rows_missing_hash"))
-    return counted.select(
-        "feed_rows_missing_hash", _pct("feed_rows_missing_hash", "feed_rows").alias("pct_of_feed")
+def missing_hash_diagnosis(feed: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    return _counts(feed, counts).select(
+        F.col("missing_hash").alias("feed_rows_missing_hash"), _pct("missing_hash", "feed_rows").alias("pct_of_feed")
     )
 
 
-def audience_tradeoff(feed: DataFrame) -> DataFrame:
+def audience_tradeoff(feed: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """The whole feed next to its matchable part: size, match rate and spend."""
-    matchable = valid_email("email") & present("hashed_email")
-    counted = feed.agg(
-        rows().alias("all_rows"),
-        F.count_if(matchable).alias("matchable_rows"),
-        F.sum("total_spend").cast("decimal(30,2)").alias("all_spend"),
-        F.sum(F.when(matchable, F.col("total_spend"))).cast("decimal(30,2)").alias("matchable_spend"),
-    )
 
     def audience(name: str, size: str, spend: str) -> Column:
         return F.struct(
@@ -176,8 +175,8 @@ def audience_tradeoff(feed: DataFrame) -> DataFrame:
         )
 
     return _unfold(
-        counted,
-        audience("expanded", "all_rows", "all_spend"),
+        _counts(feed, counts),
+        audience("expanded", "feed_rows", "all_spend"),
         audience("high_matchability", "matchable_rows", "matchable_spend"),
     )
 

@@ -71,33 +71,35 @@ def build_feed(sources: build.Sources, spec: FeedSpec, out: str, provision: bool
 
 
 def audit_reports(sources: build.Sources, built: build.FeedTables, spec: FeedSpec, out: str) -> dict[str, DataFrame]:
-    """Every profile and check by name. Two of the reports on events are read from one stored row.
+    """Every profile and check by name.
 
-    With product ids that fit a broadcast, events and orders are read twice each.
+    The counts over events and over the feed that several reports need are taken in one pass each
+    and stored. With product ids that fit a broadcast, events and orders are read twice each.
     """
     customers, events, products, orders = sources
     deduped, engagement, _, feed = built
     of_events = tables.store(checks.event_profile(events, spec), f"{out}/audit_work/event_profile")
+    of_feed = tables.store(profile.feed_counts(feed), f"{out}/audit_work/feed_counts")
     return {
         "feed_preview": build.feed_preview(feed),
         "exclusion_funnel": profile.exclusion_funnel(deduped, engagement, feed),
         "tier_composition": profile.tier_composition(feed),
-        "field_completeness": profile.field_completeness(feed),
+        "field_completeness": profile.field_completeness(feed, of_feed),
         "email_quality": profile.email_quality(deduped),
-        "hash_coverage": profile.hash_coverage(feed),
+        "hash_coverage": profile.hash_coverage(feed, of_feed),
         "duplicate_customers": checks.duplicate_ids(customers),
         "optout_leakage": checks.optout_leakage(feed, deduped),
-        "null_required_fields": checks.null_required_fields(feed),
+        "null_required_fields": of_feed.select("rows_with_null_required_fields"),
         "duplicate_feed_ids": checks.duplicate_ids(feed, ordered=False),
         "event_date_quality": of_events.drop("events_missing_customer_id"),
         "orphan_records": checks.orphan_records(deduped, events, products, orders),
         "events_missing_customer": of_events.select("events_missing_customer_id"),
-        "matchability": profile.matchability(feed, spec),
-        "missing_hash_diagnosis": profile.missing_hash_diagnosis(feed),
+        "matchability": profile.matchability(feed, spec, of_feed),
+        "missing_hash_diagnosis": profile.missing_hash_diagnosis(feed, of_feed),
         "hash_consistency": identifiers.hash_consistency(customers),
         "email_defects": identifiers.email_defects(deduped),
         "order_value_reconcile": identifiers.order_value_reconcile(orders, products),
-        "audience_tradeoff": profile.audience_tradeoff(feed),
+        "audience_tradeoff": profile.audience_tradeoff(feed, of_feed),
     }
 
 

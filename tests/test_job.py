@@ -204,6 +204,8 @@ def test_stored_relations_move_no_rows_again(spark, inputs):
         # One more of events has been run for the stored event profile.
         assert sum(count_scans(t, "events") for t in texts) == 1
         assert sum(count_scans(t, "orders") for t in texts) == 2
+        # Preview, funnel, tiers, leakage and duplicates; all counts come from one more pass.
+        assert sum(count_scans(t, "audience_feed") for t in texts) == 5
         orphans = plan(reports["orphan_records"])
         assert (count_scans(orphans, "events"), count_scans(orphans, "orders")) == (1, 1)
     finally:
