@@ -26,7 +26,7 @@ BUCKETS = 1 << 17
 DIM = 8
 GRAMS = (2, 3, 4)
 # Labelled documents to learn from, at most; their features are what the driver holds.
-MAX_TRAIN = 2000
+MAX_TRAIN = 3000
 EPOCHS = 8
 RATE = 0.5
 BATCH = 16
