@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from feedwright.sources.tables import work_folder
 
-# Rows of one key beyond the HEAVY largest are at most 1/HEAVY of all rows.
+# A group with more than 1/HEAVY of all rows is heavy, so fewer than HEAVY are.
 HEAVY = 1000
+# Parts of a hash that a sample is chosen by.
+PLACES = 1 << 30
 # White space between words, and what a word consists of.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,13 +42,14 @@ def stored(df: DataFrame) -> DataFrame:
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
     """Join many rows with `groups`, unique by `keys`, though some keys may have very many rows.
 
-    The HEAVY largest groups by `size` are broadcast (their number is the bound), so their rows
-    stay where they are; any other key has at most 1/HEAVY of the rows and is shuffled. Rows of
-    heavy keys get keys of their own in the shuffle, spread evenly. `how` is inner or left; null
-    keys match nothing. `rows` needs a column `rid`, and `groups` should be a stored table.
+    Groups with more than 1/HEAVY of all `size` are broadcast, fewer than HEAVY rows, so their rows
+    stay where they are; the others are shuffled. Rows of heavy keys get keys of their own in the
+    shuffle, spread evenly. `how` is inner or left; null keys match nothing. `rows` needs a column
+    `rid`, and `groups` should be a stored table.
     """
     values = [c for c in groups.columns if c not in keys]
-    top = groups.orderBy(F.desc(size), *keys).limit(HEAVY)
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    top = groups.filter(F.col(size) > total / HEAVY)
     heavy = top.select(*keys, F.struct(*values).alias("_heavy"))
     rest = groups.join(F.broadcast(top.select(*keys)), keys, "left_anti")
     rest = rest.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.lit(0).alias("_apart"), F.struct(*values).alias("_rest"))
@@ -66,6 +69,17 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     return joined.select(*keep, *(got[v].alias(v) for v in values))
 
 
+def first_by_hash(rows: DataFrame, key: str, limit: int, total: int) -> DataFrame:
+    """At most `limit` of `total` rows, in the order of a hash of `key`, then by all columns.
+
+    Only about four times as many rows take part in the order, so what one task gathers does not
+    grow with the number of tasks.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(PLACES))
+    near = rows.filter(place < F.lit(min(PLACES, 4 * limit * PLACES // max(total, 1) + 1)))
+    return near.orderBy(place, *rows.columns).limit(limit)
+
+
 def slices(texts: pa.Array) -> Iterator[list[str | None]]:
     """The texts in stretches of about SLICE_CHARS bytes; a longer text ends one."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))

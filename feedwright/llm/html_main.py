@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from feedwright.llm.common import first_by_hash
+
 # Labelled pages to learn from, at most.
 SAMPLE_PAGES = 500
 # Scores before anything is learnt, and pseudo-counts behind the log odds.
@@ -163,7 +165,7 @@ def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     and then the priors hold.
     """
     marked = pages.filter(F.lower(html_col).rlike("<(article|main)[ >]")).select(F.col(id_col).alias("id"), F.col(html_col).alias("page"))
-    chosen = marked.orderBy(F.xxhash64("id"), "id", "page").limit(sample)
+    chosen = first_by_hash(marked, "id", sample, marked.count())
 
     @arrow_udf("array<struct<feature:string,content:boolean,n:long>>")
     def counted(batch: pa.Array) -> pa.Array:

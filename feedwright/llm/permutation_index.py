@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import stored
+from feedwright.llm.common import first_by_hash, stored
 
 # Vectors among which the pivots are chosen, pivots, and the nearest ones that represent a vector.
 SAMPLE = 4096
@@ -148,7 +148,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     asked = asked.filter(F.col("vec_id").isNotNull() & valid(F.col("vector")) & (F.size("vector") == length))
 
     place = F.xxhash64("vec_id")
-    sample = usable.orderBy(place, "vec_id", "vector").limit(SAMPLE).collect()
+    sample = first_by_hash(usable, "vec_id", SAMPLE, n).collect()
     pivots = choose_pivots(np.array([r["vector"] for r in sample]))
     prefix = max(1, len(pivots) * PREFIX // PIVOTS)
 

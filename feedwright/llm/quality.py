@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from feedwright.llm.common import slices
+from feedwright.llm.common import first_by_hash, slices
 
 # Feature table, vector length, n-gram lengths.
 BUCKETS = 1 << 17
@@ -137,7 +137,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN)
     one document the largest counts. No labels give a model that scores 0.5 everywhere.
     """
     usable = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out())
-    chosen = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    judged = usable.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    chosen = first_by_hash(judged, "doc_id", max_train, judged.count())
 
     @arrow_udf("struct<at:binary,n:binary>")
     def counted(texts: pa.Array) -> pa.Array:
