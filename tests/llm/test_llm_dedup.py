@@ -182,6 +182,26 @@ def test_suffix_dedup_of_shared_passages(spark, monkeypatch, chunk, hot):
     assert suffix_result(df) == slow_suffix(rows)
 
 
+# 24 letters of so low a hash that they are the anchor of every string they stand in.
+PHRASE = "eaxujqrrgyjecdswmqkoanes"
+
+
+@pytest.mark.parametrize("n", [suffix_dedup.HOT, suffix_dedup.HOT + 1, 17_000])
+def test_one_phrase_in_many_contexts(spark, n):
+    """Spans of one anchor up to the bound, one above it, and as many as have over STRETCH bytes."""
+    rng = random.Random(n)
+
+    def letters():
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=26))
+
+    before = [letters() for _ in range(n // 3)]
+    rows = [(i, rng.choice(before) + PHRASE + letters()) for i in rng.sample(range(n), n)]
+    spans = suffix_dedup.find_spans(np.frombuffer("".join(t for _, t in rows).encode(), np.uint8), np.arange(1, n + 1) * 76)
+    assert len(set(spans.name[spans.strings == 27].tolist())) > n - 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert suffix_result(df) == slow_suffix(rows)
+
+
 def test_suffix_dedup_of_awkward_rows(awkward, no_docs):
     assert suffix_result(awkward) == slow_suffix([(r.doc_id, r.text) for r in awkward.collect()])
     assert suffix_result(no_docs) == []
