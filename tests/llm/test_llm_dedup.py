@@ -202,6 +202,16 @@ def test_one_phrase_in_many_contexts(spark, n):
     assert suffix_result(df) == slow_suffix(rows)
 
 
+def test_spans_whose_names_agree_in_32_bits(spark):
+    one = "xlewlukfhkszzwzgdohjmnvjxr" + PHRASE + "epymxvqyyoxucngarbyhkdexma"
+    other = "rzmsbdpbmubgzufatzkswhscyg" + PHRASE + "cfwemwzihtycwpetddzkzvgcrl"
+    a, b = (suffix_dedup.find_spans(np.frombuffer(t.encode(), np.uint8), np.array([76])) for t in (one, other))
+    assert a.anchor == b.anchor and a.name != b.name and a.name.astype(np.uint32) == b.name.astype(np.uint32)
+    rows = [(1, one), (2, other), (3, one), (4, other), (5, one[:60]), (6, other[10:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert suffix_result(df) == slow_suffix(rows)
+
+
 def test_suffix_dedup_of_awkward_rows(awkward, no_docs):
     assert suffix_result(awkward) == slow_suffix([(r.doc_id, r.text) for r in awkward.collect()])
     assert suffix_result(no_docs) == []
