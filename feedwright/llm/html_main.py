@@ -2,8 +2,8 @@
 
 Words score by the element they stand in and tags by their name, as log odds of standing in the
 content, counted over labelled pages: those that mark their article themselves. A linear scan
-finds the best contiguous region. The marks have no weight of their own, so pages without them
-are read as well; where a page has them, words outside never count as content.
+finds the best contiguous region. The marks are labels to learn from and have no weight of their
+own, so pages without them are read as well; within a mark, boilerplate does not end the region.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-MARKS = frozenset(("article", "main"))
+# Elements that mark the content, as bits.
+MARKS = {"main": 1, "article": 2}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 TOKEN = re.compile(
@@ -49,8 +50,8 @@ TOKEN = re.compile(
 )
 CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
-# (feature, number of words, text or None, starts a block, in a bad element, in a mark)
-Token = tuple[str, int, str | None, bool, bool, bool]
+# (feature, number of words, text or None, starts a block, in a bad element, marks it is in)
+Token = tuple[str, int, str | None, bool, bool, int]
 
 
 def tokens(page: str) -> list[Token]:
@@ -69,42 +70,56 @@ def tokens(page: str) -> list[Token]:
             opened.setdefault(name, []).append(i)
         elif kind == "end" and opened.get(name):
             closes[opened[name].pop()] = i
-    # A page's articles are its content; without any, what it calls main.
-    mark = "article" if any(raw[i][1] == "article" for i in closes) else "main"
     out: list[Token] = []
-    bad_until = mark_until = -1
+    bad_until = -1
+    mark_until = dict.fromkeys(MARKS, -1)
     context: list[tuple[int, str]] = []  # open elements that are closed later: place of the end, feature
     for i, (kind, name, names, text) in enumerate(raw):
         while context and context[-1][0] <= i:
             context.pop()
-        inside, marked = i <= bad_until, i <= mark_until
+        inside, marks = i <= bad_until, sum(bit for name_, bit in MARKS.items() if i <= mark_until[name_])
         if kind == "text":
             words = len(text.split())
-            out.append((f"word {context[-1][1] if context else ''}", words, text, False, inside, marked))
+            out.append((f"word {context[-1][1] if context else ''}", words, text, False, inside, marks))
             continue
         feature = " ".join([name, *sorted(names.lower().split())])
         if kind == "start" and i in closes:
-            bad = name in BOILERPLATE or bool(names and name not in ("html", "body", *MARKS) and BAD_NAME.search(names))
+            if name == "article":
+                # Articles are named after their topics too (category-social), so a name must begin with the word.
+                bad = any(BAD_NAME.match(n) for n in names.split())
+            else:
+                bad = name in BOILERPLATE or bool(names and name not in ("html", "body", "main") and BAD_NAME.search(names))
             if bad:
                 bad_until, inside = max(bad_until, closes[i]), True
-            if name == mark:
-                mark_until, marked = max(mark_until, closes[i]), True
+            if name in MARKS and not inside:
+                mark_until[name] = max(mark_until[name], closes[i])
+                marks |= MARKS[name]
             if name in BLOCKS and name not in MARKS or name == "a":
                 context.append((closes[i], feature))
                 context.sort(reverse=True)
-        out.append((f"{kind} {feature}" if name not in MARKS else "", 0, None, name in BLOCKS, inside, marked))
+        out.append((f"{kind} {feature}" if name not in MARKS else "", 0, None, name in BLOCKS, inside, marks))
     return out
 
 
+def content_marks(listed: list[Token]) -> tuple[int, ...]:
+    """Which marks say that a token is content: the articles in main if they hold most of it, else main; without main, articles."""
+    n: Counter = Counter()
+    for _, words, _, _, bad, marks in listed:
+        n[marks] += 0 if bad else words
+    if n[1] + n[3]:
+        return (3,) if n[3] >= n[1] else (1, 3)
+    return (2,) if n[2] else ()
+
+
 def counts(page: str | None) -> Counter:
-    """Per feature how often it is in the content (True) and outside, if the page marks its content once."""
+    """Per feature how often it is in the content (True) and outside, if the page marks its content."""
     found: Counter = Counter()
     if page:
         listed = tokens(page)
-        if any(t[5] for t in listed):
-            for feature, words, text, _, bad, mark in listed:
+        if content := content_marks(listed):
+            for feature, words, text, _, bad, marks in listed:
                 if feature and (text is None or words):
-                    found[feature, mark and not bad] += max(words, 1)
+                    found[feature, marks in content and not bad] += max(words, 1)
     return found
 
 
@@ -132,16 +147,13 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     listed = tokens(page)
-    if any(t[5] for t in listed):
-        # The page says what its content is: words elsewhere are as bad as in a menu.
-        listed = [(*t[:4], t[4] or not t[5], t[5]) for t in listed]
     scores = []
-    for feature, words, text, _, bad, mark in listed:
+    for feature, words, text, _, bad, marks in listed:
         prior = TAG_PRIOR if text is None else BAD_WORD_PRIOR if bad else WORD_PRIOR
         weight = weights.get(feature, prior) if feature else 0.0
         if bad:
-            # It is left out in any case, so within the content it must not end the region.
-            weight = 0.0 if mark else min(weight, prior)
+            # It is left out in any case, so within a mark it must not end the region.
+            weight = 0.0 if marks else min(weight, prior)
         scores.append(weight * words if text is not None else weight)
     start, end = best_region(scores)
     blocks, current = [], []

@@ -175,6 +175,34 @@ def test_pages_without_marks_by_learnt_weights(spark, sf):
         assert html_main.main_text(bare, weights) == html_main.main_text(row.html, weights)
 
 
+LONG = "this is the long main text of the page. " * 5
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<main><p>{LONG}</p></main><aside><article>Related page</article></aside>",
+        f"<div class=content>{LONG}</div><article class=comment>nice post, thanks</article>",
+        f"<div>{LONG}</div><div class=related><article><p>card one</p></article><article><p>card two</p></article></div>",
+        f"<article class='post category-social'><p>{LONG}</p></article>",
+        f"<main><p>{LONG}</p></main><article id=comment-1>nice post</article>",
+    ],
+)
+def test_articles_that_are_not_the_main_text(page):
+    assert html_main.main_text(page, {}) == LONG.strip()
+    assert html_main.main_text(page, {"word div class=content": 1.0, "word div": 1.0, "word p": 1.0}) == LONG.strip()
+
+
+def test_labels_of_main_and_articles():
+    def content(page):
+        return {f for f, inside in html_main.counts(page) if inside and f.startswith("word")}
+
+    assert content(f"<main><p>{LONG}</p></main><article><h2>card</h2></article>") == {"word p"}
+    assert content(f"<main><p>{LONG}</p><article><h2>card</h2></article></main>") == {"word p", "word h2"}
+    assert content(f"<main><h2>list</h2><article><p>{LONG}</p></article></main>") == {"word p"}
+    assert content(f"<p>{LONG}</p><aside><article><h2>card</h2></article></aside>") == set()
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None, 0), (2, None, "", 0), (3, "u", "no tags at all", 0), (4, "u", "<p>a<p>b &lt; c <", 0), (4, "u", "<p>a<p>b &lt; c <", 0), (None, "u", "<nav>menu</nav>", 0), (5, "u", "<article>" + "<p>word word</p>" * 20_000 + "</article>", 0)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")
