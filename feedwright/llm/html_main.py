@@ -28,7 +28,10 @@ WORD_PRIOR, BAD_WORD_PRIOR, TAG_PRIOR = 1.0, -2.0, -0.5
 SMOOTH = 2.0
 
 # Elements whose content is no text, and those that are no part of the main text.
-RAW = "script|style|noscript|template|textarea|svg|iframe|title|head"
+RAW = "script|style|noscript|template|textarea|svg|iframe|title"
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
+# Those that run to the end of the page if nothing closes them: what follows is code.
+TO_THE_END = frozenset(("script", "style"))
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button select option label input".split())
 BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav\w*|breadcrumbs?|header|footer|comments?|"
@@ -44,7 +47,7 @@ MARKS = {"main": 1, "article": 2}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>?"""
+    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:(?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+>|[^>]*>)|<[!?][^>]*>?"""
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>)|(?P<text>[^<]+|<)""",
     re.S | re.I,
 )
@@ -54,10 +57,28 @@ CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([
 Token = tuple[str, int, str | None, bool, bool, int]
 
 
+def _matches(page: str) -> Iterator[re.Match]:
+    """What TOKEN finds one after the other, without the contents of RAW elements."""
+    at = 0
+    endless: set[str] = set()
+    while m := TOKEN.match(page, at):
+        yield m
+        at = m.end()
+        name = (m["raw"] or "").lower()
+        if not name or name in endless or name == "svg" and m[0].endswith("/>"):
+            continue
+        if end := RAW_END[name].search(page, at):
+            at = end.end()
+        elif name in TO_THE_END:
+            return
+        else:
+            endless.add(name)
+
+
 def tokens(page: str) -> list[Token]:
-    """Words and tags of a page in order. An element that is never closed does not reach beyond its tag."""
+    """Words and tags of a page in order. An element that is never closed, but for script and style, does not reach beyond its tag."""
     raw: list[tuple[str, str, str, str]] = []
-    for m in TOKEN.finditer(page):
+    for m in _matches(page):
         if m["text"] is not None:
             raw.append(("text", "", "", m["text"]))
         elif m["name"]:

@@ -203,6 +203,27 @@ def test_labels_of_main_and_articles():
     assert content(f"<p>{LONG}</p><aside><article><h2>card</h2></article></aside>") == set()
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<head><title>T</title><body><article><p>{}</p></article>",
+        "<head><title>T</title><meta charset=utf-8><link rel=icon href=x><style>p {{}}</style><script>var t = '</p>';</script><body><p>{}</p>",
+        "<svg class=icon viewBox='0 0 9 9'/><article><p>{}</p></article>",
+        "<svg aria-label='a > b' /><article><p>{}</p></article><svg><text>x</text></svg>",
+        *(f"<{name}><article><p>{{}}</p></article>" for name in ("svg", "noscript", "template", "iframe", "textarea", "title")),
+        *(f"<p>{{}}</p><{name}>var code = 1 <p>more" for name in ("script", "style")),
+        "<iframe src='x''></iframe><p title='y'>{}</p>",
+        "<svg><text>x</text></svg><IFRAME src='a>b'>none</iframe><p>{}</p><svg><svg>",
+    ],
+)
+def test_raw_elements_end_where_they_should(page):
+    assert html_main.main_text(page.format(LONG), {}) == LONG.strip()
+
+
+def test_unclosed_raw_elements_take_linear_time():
+    assert html_main.main_text("<svg><iframe>a " * 50_000, {}).split() == ["a"] * 50_000
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None, 0), (2, None, "", 0), (3, "u", "no tags at all", 0), (4, "u", "<p>a<p>b &lt; c <", 0), (4, "u", "<p>a<p>b &lt; c <", 0), (None, "u", "<nav>menu</nav>", 0), (5, "u", "<article>" + "<p>word word</p>" * 20_000 + "</article>", 0)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")
