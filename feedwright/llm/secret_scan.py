@@ -25,11 +25,18 @@ ASSIGN_LEAST = 8
 # Kinds in their order; `guess` is what the method adds.
 KINDS = ("assign", "access", "hex", "guess")
 
-# A context is one of these names, an optional quote, a separator, and then the value.
+# A context is one of these names, an optional quote, a separator, and then the value; or bearer, a
+# blank and the value. The name of a scheme before a value is no part of it, unless a context follows.
+NAMES = (
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth(?:orization)?"
+    r"|(?:api|access|private|secret|auth|encryption|client)[_ -]?key)"
+)
+SEPARATED = rf"""{NAMES}["']?\x20*(?:[:=]|\x20is\x20)"""
+NO_CONTEXT = rf"""(?!["']?(?:[^\s"'<>,;]*[_.-])?{SEPARATED})"""
+SCHEME = rf"(?:(?:bearer|basic|token)\x20++{NO_CONTEXT})?"
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|bearer|auth(?:orization)?"""
-    r"""|(?:api|access|private|secret|auth|encryption|client)[_ -]?key)"""
-    r"""["']?\x20*(?:[:=]|\x20is\x20)\x20*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>,;]+))""",
+    rf"""(?:{SEPARATED}|\bbearer\x20++{NO_CONTEXT})\x20*"""
+    rf"""(?:"{SCHEME}([^"\n]+)"|'{SCHEME}([^'\n]+)'|{SCHEME}([^\s"'<>,;]+))""",
     re.I | re.A,
 )
 # Each context has one of these in it, so texts without them need no search.
@@ -49,8 +56,10 @@ COMMON = (
 RANK = {word: place for place, word in enumerate(COMMON, 1)}
 LONGEST_WORD = max(map(len, COMMON))
 LEET = str.maketrans("@4310$5!7", "aaeiossit")
-# Any other run of letters that reads like a word counts as one of so many words.
+# Any other run of letters that reads like a word counts as one of so many words, and each letter beyond
+# the usual length as so many times more.
 ANY_WORD = 5.0
+USUAL_LETTERS, MORE_LETTERS = 8, 0.7
 WORDLIKE = re.compile(r"[^\W\d_]{3,}")
 VOWELS = frozenset("aeiouyáàâäãåæéèêëíìîïóòôöõøœúùûüýÿ")
 YEAR, MONTH, DAY = r"(?:19|20)\d\d", "(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
@@ -106,7 +115,7 @@ def _parts(value: str) -> list[list[tuple[int, float]]]:
                     out[i].append((j, log10(1 + rank) + extra + (low[i:j] != value[i:j]) * log10(2)))
     out_words = ((m.start(), m.end()) for m in WORDLIKE.finditer(value) if _wordlike(m.group()))
     for i, j in out_words:
-        out[i].append((j, min(ANY_WORD, 1.2 * (j - i))))
+        out[i].append((j, min(ANY_WORD, 1.2 * (j - i)) + MORE_LETTERS * max(0, j - i - USUAL_LETTERS)))
     for m in DATE.finditer(value):
         out[m.start()].append((m.end(), DATE_COST if m.end() - m.start() > 4 else log10(200)))
     for m in REPEAT.finditer(value):

@@ -119,6 +119,30 @@ def test_hard_values_are_found_and_words_are_not():
         assert secret_scan.scan(plain) == [] or secret_scan.scan(plain)[0].kind != "guess", plain
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("Authorization: Bearer xK9vQ2Lm7pRt4WzY", "xK9vQ2Lm7pRt4WzY"),
+        ('{"Authorization": "Bearer xK9vQ2Lm7pRt4WzY"}', "xK9vQ2Lm7pRt4WzY"),
+        ("curl -H 'Bearer  xK9vQ2Lm7pRt4WzY' x", "xK9vQ2Lm7pRt4WzY"),
+        ("auth = basic eG9pOnF3ZXIxMjM0", "eG9pOnF3ZXIxMjM0"),
+        ("the bearer passphrase: xK9#Q2Lm7pRt", "xK9#Q2Lm7pRt"),
+        ("auth: token my-passphrase: xK9#Q2Lm7pRt", "xK9#Q2Lm7pRt"),
+        ("the bearer  passphrase:  xK9#Q2Lm7pRt", "xK9#Q2Lm7pRt"),
+        ("the bearer is xK9#Q2Lm7pRt", "xK9#Q2Lm7pRt"),
+        ("pwd: gilekawutrobmade", "gilekawutrobmade"),
+        ("pwd is ovimalezudrikanopteg.", "ovimalezudrikanopteg."),
+    ],
+)
+def test_values_after_schemes_and_of_many_letters(text, value):
+    assert [(f.kind, text[f.start : f.end]) for f in secret_scan.scan(text)] == [("guess", value)]
+
+
+def test_plain_words_after_schemes_are_no_secrets():
+    for plain in ("the bearer of this letter", "Bearer authentication", "Authorization: Bearer", "auth: basic authentication", "pwd: Bearer token"):
+        assert secret_scan.scan(plain) == [], plain
+
+
 def slow_guesses(value):
     """Least cost by trying every segmentation from the front."""
     parts = secret_scan._parts(value)
