@@ -6,7 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from feedwright.llm import bpe, chat_format, html_main, mixing, permutation_index, quality, secret_scan, simhash, suffix_dedup
+from feedwright.llm import (
+    bpe,
+    chat_format,
+    collocations,
+    conversation_repair,
+    html_main,
+    mixing,
+    packing,
+    permutation_index,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+)
 from feedwright.llm.common import ascii_lower, read, word_count
 from feedwright.llm.exact_dedup import exact_dedup
 
@@ -98,6 +111,33 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(conversation_repair.damaged(conversations))
+    digests = conversation_repair.transcript_digests(found.rows)
+    every = conversations.select(F.col("conv_id").alias("_conv")).distinct()
+
+    def same(df: DataFrame) -> Column:
+        return F.col("_conv").eqNullSafe(df["conv_id"])
+
+    known = every.join(found.report, same(found.report), "left").drop("conv_id").join(digests, same(digests), "left")
+    return known.select(
+        F.col("_conv").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_permutation_index": op2_permutation_index,
@@ -109,6 +149,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_html_extract": op10_html_extract,
+    "op11_collocations": op11_collocations,
+    "op12_packing": op12_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -121,4 +164,5 @@ ORACLE = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM docs JOIN best USING (body)""",
     "op9_chat_format": chat_format.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
 }
