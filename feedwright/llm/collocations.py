@@ -15,7 +15,9 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ SHARE = 50
 TOP = 2000
 NO_LANG = "und"
 # Words of a chunk that a task sorts at a time, and of which a bucket holds the suffixes.
-CHUNK_WORDS, BUCKET_WORDS = 2_000_000, 3_000_000
+CHUNK_WORDS, BUCKET_WORDS = 1_000_000, 1_500_000
 # A byte that stands in no UTF-8 text marks the end of a piece.
 END = b"\xff"
 CLEAN = bytes.maketrans(bytes(range(65, 91)) + BREAKS + b"\t", bytes(range(97, 123)) + END * len(BREAKS) + b" ")
@@ -40,55 +42,55 @@ ENDED = -1
 Partitions = list[tuple[np.ndarray, np.ndarray]]
 
 
-def multikey_partitions(keys: np.ndarray, weights: np.ndarray, least: int = 1) -> Partitions:
+def multikey_partitions(keys: np.ndarray, weights: np.ndarray | None = None, least: int = 1) -> Partitions:
     """Three-way quicksort of suffix pointers: per depth d a pointer of each partition equal in d + 1 keys, and its weight.
 
-    `keys` has a row per depth and a column per pointer. All open partitions are parted in one pass:
-    each has a pivot, its pointers go to less, equal or greater, and the equal part goes on at the next
-    depth. A partition that weighs less than `least` is given up, as no part of it can weigh more.
+    `keys` has a row per depth and a column per pointer; without `weights` each pointer weighs 1. All
+    open partitions are parted in one pass: each has a pivot, its pointers go to less, equal or
+    greater, and the equal part goes on at the next depth. A partition that weighs less than `least`
+    is given up, as no part of it can weigh more.
     """
     depths, n = keys.shape
-    flat = keys.ravel()
     found: list[Partitions] = [[] for _ in range(depths)]
-    pointer = np.arange(n)
-    size = np.array([n] if n and weights.sum() >= least else [], np.int64)
-    depth = np.zeros(len(size), np.int64)
+    total = n if weights is None else int(weights.sum())
+    pointer = np.arange(n, dtype=np.int32)
+    size = np.array([n] if n and total >= least else [], np.int64)
+    depth = np.zeros(len(size), np.int8)
+    key = keys[0]
     while len(size):
-        alone = size == 1
-        if alone.any():
-            # A single pointer is a partition of its own at every depth from here.
-            inside = np.repeat(alone, size)
-            one, at = pointer[inside], depth[alone]
-            for d in range(depths):
-                here = one[at <= d]
-                found[d].append((here, weights[here]))
-            pointer, size, depth = pointer[~inside], size[~alone], depth[~alone]
-            if not len(size):
-                break
         start = np.cumsum(size) - size
-        owner = np.repeat(np.arange(len(size)), size)
-        key = flat[depth[owner] * n + pointer]
         # The middle one of three pointers of a partition is its pivot.
-        pivot = np.sort(key[np.stack([start, start + size // 2, start + size - 1])], axis=0)[1][owner]
+        pivot = np.repeat(np.sort(key[np.stack([start, start + size // 2, start + size - 1])], axis=0)[1], size)
         parts = []
         for side in (key < pivot, key == pivot, key > pivot):
-            within, of = pointer[side], owner[side]
-            sizes = np.bincount(of, minlength=len(size))
-            heavy = sizes > 0
-            weight = np.bincount(of, weights[within], minlength=len(size)).astype(np.int64)
+            sizes = np.add.reduceat(side.view(np.int8), start, dtype=np.int32).astype(np.int64)
+            weight = sizes if weights is None else np.add.reduceat(np.where(side, weights[pointer], 0), start)
+            stays = (sizes > 0) & (weight >= least)
             if least > 1:
-                heavy &= weight >= least
-                within = within[heavy[of]]
-            parts.append((within, sizes[heavy], weight[heavy], depth[heavy]))
-        within, sizes, weight, at = parts[1]
+                side &= np.repeat(stays, size)
+            # Places are faster to take by than a mask.
+            at = np.flatnonzero(side)
+            parts.append((pointer[at], key[at], sizes[stays], depth[stays], weight[stays]))
+        within, _, sizes, at, weight = parts[1]
         first = within[np.cumsum(sizes) - sizes]
         for d in range(depths):
             if (here := at == d).any():
                 found[d].append((first[here], weight[here]))
         deeper = at < depths - 1
-        parts[1] = (within[np.repeat(deeper, sizes)], sizes[deeper], weight[deeper], at[deeper] + 1)
-        pointer, size, depth = (np.concatenate([part[i] for part in parts]) for i in (0, 1, 3))
-    none = (np.empty(0, np.int64), np.empty(0, np.int64))
+        within = within[np.flatnonzero(np.repeat(deeper, sizes))]
+        sizes, weight, at = sizes[deeper], weight[deeper], at[deeper] + 1
+        parts[1] = (within, keys[np.repeat(at, sizes), within], sizes, at, weight)
+        pointer, key, size, depth, weight = (np.concatenate(column) for column in zip(*parts))
+        alone = size == 1
+        if alone.any():
+            # A single pointer is a partition of its own at every depth from here.
+            inside = np.repeat(alone, size)
+            for d in range(depths):
+                here = depth[alone] <= d
+                found[d].append((pointer[inside][here], weight[alone][here]))
+            others = np.flatnonzero(~inside)
+            pointer, key, size, depth = pointer[others], key[others], size[~alone], depth[~alone]
+    none = (np.empty(0, np.int32), np.empty(0, np.int64))
     return [tuple(map(np.concatenate, zip(*f))) if f else none for f in found]
 
 
@@ -98,59 +100,52 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def _numbered() -> defaultdict[bytes, int]:
-    """Numbers for words in the order they are met; END is ENDED."""
+    """Numbers for words in the order they are met; END is the first."""
     numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
     numbers[END]
     return numbers
 
 
 class Chunk:
-    """The words of a stretch of documents as numbers."""
+    """The words of a stretch of documents of one language as numbers."""
 
     def __init__(self) -> None:
-        self.langs: defaultdict[str, int] = defaultdict(count().__next__)
         self.numbers = _numbered()
         self.parts: list[np.ndarray] = []
-        self.lang_of: list[int] = []
-        self.size = 0
 
-    def add(self, lang: str, text: bytes | None) -> None:
-        found = words_of(text)
+    def add(self, found: list[bytes]) -> None:
         self.parts.append(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found)))
-        self.lang_of.append(self.langs[lang])
-        self.size += len(found)
 
-    def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        """The language and the number of each word; ENDED behind each piece."""
-        sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        return np.repeat(np.array(self.lang_of, np.int32), sizes), np.concatenate(self.parts) - 1
+    def flat(self) -> np.ndarray:
+        """The number of each word, ENDED behind each piece."""
+        return np.concatenate(self.parts) - 1
 
     def words(self) -> list[bytes]:
         return list(self.numbers)[1:]
 
 
-def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[Chunk]:
-    chunk = Chunk()
+def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[str, Chunk]]:
+    """Chunks by language, of about `most` words together."""
+    chunks: defaultdict[str, Chunk] = defaultdict(Chunk)
+    size = 0
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            chunk.add(lang, text.as_py())
-            if chunk.size >= most:
-                yield chunk
-                chunk = Chunk()
-    if chunk.size:
-        yield chunk
+            found = words_of(text.as_py())
+            chunks[lang].add(found)
+            size += len(found)
+            if size >= most:
+                yield from chunks.items()
+                chunks.clear()
+                size = 0
+    yield from chunks.items()
 
 
 def _word_counts(most: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, most):
-            lang, word = chunk.flat()
-            lang, word = lang[word >= 0], word[word >= 0]
-            words, langs = pa.array(chunk.words(), pa.binary()), pa.array(list(chunk.langs), pa.string())
-            pairs, n = np.unique(lang.astype(np.int64) * max(len(words), 1) + word, return_counts=True)
-            of_lang, of_word = np.divmod(pairs, max(len(words), 1))
-            arrays = [langs.take(pa.array(of_lang)), words.take(pa.array(of_word)).cast(pa.string()), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["lang", "word", "n"])
+        for lang, chunk in _chunks(batches, most):
+            words = pa.array(chunk.words(), pa.binary()).cast(pa.string())
+            n = np.bincount(chunk.flat() + 1, minlength=len(words) + 1)[1:]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), words, pa.array(n, pa.int64())], ["lang", "word", "n"])
 
     return counted
 
@@ -160,33 +155,47 @@ def _hashes(words: Iterable[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64)
 
 
-BLOBS = "bucket bigint, langs array<string>, words array<binary>, keys binary, weights binary"
-_BLOB_KINDS = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+def packed(keys: np.ndarray, weights: np.ndarray, words: list[bytes]) -> bytes:
+    """Suffixes with their words and weights as one compressed blob; the words are numbered anew."""
+    used, place = np.unique(keys, return_inverse=True)
+    shift = int(len(used) > 0 and used[0] == ENDED)
+    rows = np.concatenate([place.reshape(keys.shape) - shift, weights[None]]).astype(np.int32)
+    said = END.join(words[i] for i in used[shift:].tolist())
+    # The bytes of a number apart, as most of the high ones are zero.
+    planes = rows.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(np.array([len(said)], np.int64).tobytes() + said + planes)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    [length] = np.frombuffer(data, np.int64, 1)
+    said = data[8 : 8 + length]
+    rows = np.ascontiguousarray(np.frombuffer(data, np.uint8, offset=8 + length).reshape(4, -1).T).view(np.int32).reshape(MOST_WORDS + 1, -1)
+    return rows[:-1], rows[-1], said.split(END) if said else []
+
+
+BLOBS = "bucket bigint, lang string, blob binary"
 
 
 def _suffixes(most: int, buckets: int, heavy: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The distinct suffixes of two words and more of each chunk, with their number, by bucket."""
 
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, most):
-            lang, word = chunk.flat()
-            after = np.append(word[1:], [ENDED, ENDED])
+        for lang, chunk in _chunks(batches, most):
+            word = chunk.flat()
+            after = np.append(word[1:], np.array([ENDED, ENDED], np.int32))
             at = np.flatnonzero((word >= 0) & (after[:-1] >= 0))
-            keys = np.stack([lang[at], word[at], after[at], after[at + 1]])
-            first, weight = multikey_partitions(keys, np.ones(len(at), np.int64))[-1]
+            keys = np.stack([word[at], after[at], after[at + 1]])
+            first, weight = multikey_partitions(keys)[-1]
             keys = keys[:, first]
-            words, langs = chunk.words(), list(chunk.langs)
-            bucket = _buckets(keys, _hashes(words), _hashes(x.encode() for x in langs), buckets, heavy)
+            words = chunk.words()
+            bucket = _buckets(keys, lang, _hashes(words), buckets, heavy)
             order = np.argsort(bucket, kind="stable")
-            keys, weight = keys[:, order], weight[order].astype(np.int32)
+            keys, weight = keys[:, order], weight[order]
             numbers, starts = np.unique(bucket[order], return_index=True)
             for number, a, b in zip(numbers.tolist(), starts, [*starts[1:], len(order)]):
-                own = keys[:, a:b]
-                used, place = np.unique(own[1:], return_inverse=True)
-                shift = int(len(used) > 0 and used[0] == ENDED)
-                own = np.concatenate([own[:1], place.reshape(3, -1) - shift]).astype(np.int32)
-                row = (number, langs, [words[i] for i in used[shift:].tolist()], own.tobytes(), weight[a:b].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _BLOB_KINDS)], ["bucket", "langs", "words", "keys", "weights"])
+                row = ([number], [lang], [packed(keys[:, a:b], weight[a:b], words)])
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, (pa.int64(), pa.string(), pa.binary()))], ["bucket", "lang", "blob"])
 
     return sent
 
@@ -194,14 +203,14 @@ def _suffixes(most: int, buckets: int, heavy: np.ndarray) -> Callable[[Iterable[
 def _parted(keys: np.ndarray, hashes: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     """Suffixes whose first two words both are heavy: their phrase may be as frequent, so three words tell their bucket."""
     hot = np.isin(hashes, heavy)
-    return hot[keys[1]] & hot[keys[2]]
+    return hot[keys[0]] & hot[keys[1]]
 
 
-def _buckets(keys: np.ndarray, hashes: np.ndarray, langs: np.ndarray, buckets: int, heavy: np.ndarray) -> np.ndarray:
+def _buckets(keys: np.ndarray, lang: str, hashes: np.ndarray, buckets: int, heavy: np.ndarray) -> np.ndarray:
     """Where the suffixes go by their leading words."""
-    third = np.append(hashes, np.uint64(0))[keys[3]] * _parted(keys, hashes, heavy)
-    mixed = langs[keys[0]]
-    for part in (hashes[keys[1]], hashes[keys[2]], third):
+    third = np.append(hashes, np.uint64(0))[keys[2]] * _parted(keys, hashes, heavy)
+    mixed = np.full(keys.shape[1], _hashes([lang.encode()])[0])
+    for part in (hashes[keys[0]], hashes[keys[1]], third):
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + part
     mixed ^= mixed >> np.uint64(32)
     return (mixed % np.uint64(buckets)).astype(np.int64)
@@ -213,35 +222,32 @@ PHRASES = "lang string, w1 string, w2 string, w3 string, a bigint"
 def _phrases(least: int, heavy: np.ndarray) -> Callable[[pa.Table], pa.Table]:
     """Phrases of a bucket with their counts; of phrases that are in other buckets too, the part here."""
 
-    def counted(blobs: pa.Table) -> pa.Table:
-        numbers, langs = _numbered(), defaultdict(count().__next__)
+    def of_lang(lang: str, blobs: Iterable[pa.Scalar]) -> Iterator[pa.Table]:
+        numbers = _numbered()
         all_keys, all_weights = [], []
-        for blob_langs, words, keys, weights in zip(*(blobs[c].to_pylist() for c in ("langs", "words", "keys", "weights"))):
-            own = np.frombuffer(keys, np.int32).reshape(4, -1)
+        for blob in blobs:
+            keys, weights, words = unpacked(blob.as_py())
             to_word = np.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)) - 1, np.int32(ENDED))
-            to_lang = np.array([langs[x] for x in blob_langs], np.int32)
-            all_keys.append(np.concatenate([to_lang[own[:1]], to_word[own[1:]]]))
-            all_weights.append(np.frombuffer(weights, np.int32))
+            all_keys.append(to_word[keys])
+            all_weights.append(weights)
         keys, weights = np.concatenate(all_keys, axis=1), np.concatenate(all_weights).astype(np.int64)
         words = list(numbers)[1:]
+        names = pa.array(words, pa.binary())
         parted = _parted(keys, _hashes(words), heavy)
-        found = []
         for part, limit in ((~parted, least), (parted, 1)):
-            here, weight = np.ascontiguousarray(keys[:, part]), weights[part]
-            of_depth = multikey_partitions(here, weight, limit)
-            first, n = of_depth[2]
-            found.append((here[:, first], n, False))
-            first, n = of_depth[3]
-            whole = (n >= least) & (here[3, first] != ENDED)
-            found.append((here[:, first[whole]], n[whole], True))
-        names, kinds = pa.array(words, pa.binary()), pa.array(list(langs), pa.string())
-        tables = []
-        for k, n, deep in found:
-            third = names.take(pa.array(k[3])) if deep else pa.nulls(len(n), pa.binary())
-            said = [names.take(pa.array(k[1])), names.take(pa.array(k[2])), third]
-            arrays = [kinds.take(pa.array(k[0])), *(x.cast(pa.string()) for x in said), pa.array(n, pa.int64())]
-            tables.append(pa.table(arrays, ["lang", "w1", "w2", "w3", "a"]))
-        return pa.concat_tables(tables)
+            own = keys[:, part]
+            _, pairs, triples = multikey_partitions(own, weights[part], limit)
+            whole = (triples[1] >= least) & (own[2, triples[0]] != ENDED)
+            for (first, n), deep in ((pairs, False), ((triples[0][whole], triples[1][whole]), True)):
+                said = [names.take(pa.array(own[i, first])).cast(pa.string()) for i in range(3 if deep else 2)]
+                said += [] if deep else [pa.nulls(len(n), pa.string())]
+                yield pa.table([pa.array([lang] * len(n), pa.string()), *said, pa.array(n, pa.int64())], ["lang", "w1", "w2", "w3", "a"])
+
+    def counted(bucket: pa.Table) -> pa.Table:
+        found = []
+        for lang in bucket["lang"].unique().to_pylist():
+            found += of_lang(lang, bucket.filter(pc.equal(bucket["lang"], lang))["blob"])
+        return pa.concat_tables(found)
 
     return counted
 
