@@ -241,19 +241,18 @@ def _stretches(costs: Costs):
 DECIDED = "run bigint, chosen int, cost bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint"
 
 
-def _decide(runs: pa.Table) -> pa.Table:
+def _decide(runs: list[dict]) -> list[dict]:
     """For each stretch of a conversation the pair of states that the cheapest repair has at its ends, and the whole's figures.
 
     Only the costs and the order of the stretches' edits are looked at: among paths to a state the
-    edits so far are told by their place in ASCII order, five places at most.
+    edits so far are told by their place in ASCII order, four places at most.
     """
-    listed = runs.sort_by("run").to_pylist()
     many = len(STATES) ** 2 + 1
     reached: list[tuple[int, int] | None] = [(0, 0), None, None, None]  # cost, place of the edits so far
     steps: list[list[int | None]] = []
     totals = dict.fromkeys(("blank", "duplicate", "truncated", "illegal"), 0)
     turns, first_turn, last_turn, last_initial = 0, None, None, None
-    for run in listed:
+    for run in runs:
         best: list[tuple[int, int] | None] = [None] * len(STATES)
         for exit_ in STATES:
             for entry, so_far in enumerate(reached):
@@ -279,9 +278,24 @@ def _decide(runs: pa.Table) -> pa.Table:
         state = entry
     gaps = last_turn - first_turn + 1 - turns if turns else 0
     same = {"cost": cost, "gaps": gaps} | totals
-    out = [{"run": run["run"], "chosen": c} | same for run, c in zip(listed, reversed(chosen))]
-    names = ["run", "chosen", *same]
-    return pa.Table.from_pylist(out, pa.schema([(n, pa.int32() if n == "chosen" else pa.int64()) for n in names]))
+    return [{"run": run["run"], "chosen": c} | same for run, c in zip(runs, reversed(chosen))]
+
+
+def _decided(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is decided of conversations that follow each other, stretch after stretch."""
+    names = [part.split()[0] for part in DECIDED.split(", ")]
+    kinds = pa.schema([(n, pa.int32() if n == "chosen" else pa.int64()) for n in names])
+    runs: list[dict] = []
+    for batch in batches:
+        out = []
+        for run in batch.to_pylist():
+            if runs and run["conv_id"] != runs[0]["conv_id"]:
+                out += _decide(runs)
+                runs = []
+            runs.append(run)
+        yield pa.RecordBatch.from_pylist(out, kinds)
+    if runs:
+        yield pa.RecordBatch.from_pylist(_decide(runs), kinds)
 
 
 class Repair(NamedTuple):
@@ -318,7 +332,7 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block_bits: int = B
     fields = ", ".join(f"{f.name} {_ddl(f.type)}" for f in RUNS)
     blocks = with_faults(ordered).withColumn("block", F.shiftright("seq", block_bits))
     runs = stored(blocks.groupBy("block").applyInArrow(_stretches(costs), f"conv_id {kind}, {fields}"))
-    decided = runs.drop("edits").groupBy("conv_id").applyInArrow(_decide, DECIDED)
+    decided = runs.drop("edits").repartition("conv_id").sortWithinPartitions("conv_id", "run").mapInArrow(_decided, DECIDED)
     edits = F.get("edits", "chosen").alias("edits")
     pieces = stored(runs.select("run", "conv_id", "edits").join(decided, "run").select("conv_id", *decided.columns, edits))
 
