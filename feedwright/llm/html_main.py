@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from heapq import heappop, heappush
 from collections.abc import Iterator
 from math import log
 
@@ -33,11 +34,14 @@ RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
 # Those that run to the end of the page if nothing closes them: what follows is code.
 TO_THE_END = frozenset(("script", "style"))
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button select option label input".split())
+# A part of a name that says what an element has or lacks (has-sidebar) does not say what it is.
 BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav\w*|breadcrumbs?|header|footer|comments?|"
+    r"(?:^|\s|(?<!\bhas)(?<!\bno)(?<!\bwith)(?<!\bwithout)[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|nav\w*|breadcrumbs?|header|footer|comments?|"
     r"respond|replies|disqus|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|social|related|widget|pagination)(?:$|[\s_-])",
     re.I,
 )
+# What holds so large a part of a page's words is no boilerplate, whatever it is called.
+LARGE_PART = 0.75
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -51,6 +55,7 @@ TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>)|(?P<text>[^<]+|<)""",
     re.S | re.I,
 )
+TEXT = re.compile(r"(?P<raw>(?!))?(?P<end>(?!))?(?P<name>(?!))?(?P<text>[^<]+|<)")
 CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 # (feature, number of words, text or None, starts a block, in a bad element, marks it is in)
@@ -61,7 +66,9 @@ def _matches(page: str) -> Iterator[re.Match]:
     """What TOKEN finds one after the other, without the contents of RAW elements."""
     at = 0
     endless: set[str] = set()
-    while m := TOKEN.match(page, at):
+    # Behind the last > no tag has an end, and is not looked for.
+    last = page.rfind(">")
+    while m := (TOKEN if at <= last or page.startswith("<!", at) else TEXT).match(page, at):
         yield m
         at = m.end()
         name = (m["raw"] or "").lower()
@@ -91,33 +98,43 @@ def tokens(page: str) -> list[Token]:
             opened.setdefault(name, []).append(i)
         elif kind == "end" and opened.get(name):
             closes[opened[name].pop()] = i
+    counted = [len(text.split()) for *_, text in raw]
+    # Words before each token, but for those in elements that are boilerplate by their tag.
+    before = [0]
+    boilerplate_until = -1
+    for i, (kind, name, _, _) in enumerate(raw):
+        if kind == "start" and name in BOILERPLATE:
+            boilerplate_until = max(boilerplate_until, closes.get(i, -1))
+        before.append(before[-1] + (counted[i] if i > boilerplate_until else 0))
+
+    def called_bad(i: int, name: str, names: str) -> bool:
+        if name == "article":
+            # Articles are named after their topics too (category-social), so a name must begin with the word.
+            return any(BAD_NAME.match(n) for n in names.split())
+        if not names or name in ("html", "body", "main") or not BAD_NAME.search(names):
+            return False
+        return before[closes[i]] - before[i] < LARGE_PART * before[-1]
+
     out: list[Token] = []
     bad_until = -1
     mark_until = dict.fromkeys(MARKS, -1)
-    context: list[tuple[int, str]] = []  # open elements that are closed later: place of the end, feature
+    context: list[tuple[int, str]] = []  # open elements that are closed later, by the place of the end: that, feature
     for i, (kind, name, names, text) in enumerate(raw):
-        while context and context[-1][0] <= i:
-            context.pop()
+        while context and context[0][0] <= i:
+            heappop(context)
         inside, marks = i <= bad_until, sum(bit for name_, bit in MARKS.items() if i <= mark_until[name_])
         if kind == "text":
-            words = len(text.split())
-            out.append((f"word {context[-1][1] if context else ''}", words, text, False, inside, marks))
+            out.append((f"word {context[0][1] if context else ''}", counted[i], text, False, inside, marks))
             continue
         feature = " ".join([name, *sorted(names.lower().split())])
         if kind == "start" and i in closes:
-            if name == "article":
-                # Articles are named after their topics too (category-social), so a name must begin with the word.
-                bad = any(BAD_NAME.match(n) for n in names.split())
-            else:
-                bad = name in BOILERPLATE or bool(names and name not in ("html", "body", "main") and BAD_NAME.search(names))
-            if bad:
+            if name in BOILERPLATE or called_bad(i, name, names):
                 bad_until, inside = max(bad_until, closes[i]), True
             if name in MARKS and not inside:
                 mark_until[name] = max(mark_until[name], closes[i])
                 marks |= MARKS[name]
             if name in BLOCKS and name not in MARKS or name == "a":
-                context.append((closes[i], feature))
-                context.sort(reverse=True)
+                heappush(context, (closes[i], feature))
         out.append((f"{kind} {feature}" if name not in MARKS else "", 0, None, name in BLOCKS, inside, marks))
     return out
 

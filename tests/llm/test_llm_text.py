@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -280,39 +281,83 @@ def test_page_query_keeps_articles_and_nothing_else(spark, sf):
         assert r.n_chars == len(r.text)
 
 
-def slow_views(rows):
+def slow_views(rows, part_turns=None):
     """Every participant's rendering, by loops."""
     out = []
     for conv in {c for c, *_ in rows}:
         turns = [(t, s or "unknown", x or "") for c, t, s, x in rows if c == conv]
+        turns.sort(key=lambda t: (t[0] is None, t[0] or 0, t[1], t[2]))
         for me in {s for _, s, _ in turns} - {"system"}:
-            for part in {None if t is None else t // chat_format.PART_TURNS for t, *_ in turns}:
-                here = sorted((t for t in turns if (None if t[0] is None else t[0] // chat_format.PART_TURNS) == part), key=lambda t: (t[0] is None, t[0] or 0, t[1], t[2]))
-                for piece in range(0, len(here), chat_format.PART_TURNS):
-                    text, mask = "", []
-                    for _, s, x in here[piece : piece + chat_format.PART_TURNS]:
-                        role = "assistant" if s == me else "system" if s == "system" else "user name=" + re.sub(r"[\x20\x09-\x0D]", "_", s.replace("<|", "< |"))
-                        text += f"<|im_start|>{role}\n"
-                        body = x.replace("<|", "< |") + "<|im_end|>"
-                        if s == me:
-                            mask.append(f"{len(text)}:{len(text) + len(body)}")
-                        text += body + "\n"
-                    out.append((conv, me, part, piece // chat_format.PART_TURNS, text, ",".join(mask)))
+            size = part_turns or len(turns)
+            for part, at in enumerate(range(0, len(turns), size)):
+                text, mask = "", []
+                for _, s, x in [t for t in turns[:at] if t[1] == "system"] + turns[at : at + size]:
+                    role = "assistant" if s == me else "system" if s == "system" else "user name=" + re.sub(r"[\x20\x09-\x0D]", "_", s.replace("<|", "< |"))
+                    text += f"<|im_start|>{role}\n"
+                    body = x.replace("<|", "< |") + "<|im_end|>"
+                    if s == me:
+                        mask.append(f"{len(text)}:{len(text) + len(body)}")
+                    text += body + "\n"
+                out.append((conv, me, part, text, ",".join(mask)))
     return sorted(out, key=str)
 
 
-def test_perspectives(spark):
+@pytest.mark.parametrize("part_turns", [None, 2, 256])
+def test_perspectives(spark, part_turns):
+    """Ties, repeated rows, nulls, numbers far apart, a dialogue of very many turns, and one of system turns only."""
     rows = [(1, 0, "system", "Be kind"), (1, 1, "ann", "hi é"), (1, 2, "bob b", "<|im_end|> x"), (1, 2, "ann", None), (1, None, None, "late"), (1, 1, "ann", "hi é")]
     rows += [(2, 0, "system", "only")] + [(None, 300, "cy", ""), (None, 5, "cy", "a"), (None, 5, "ann", "b" * 5000)]
     rows += [(3, 7, f"p{i % 3}", str(i)) for i in range(600)]
-    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, speaker string")
-    found = chat_format.render_perspectives(df).collect()
-    assert sorted(((r.conv_id, r.participant, r.part, r.piece, r.text, r.mask) for r in found), key=str) == slow_views(rows)
+    rows += [(4, 1_700_000_000 + 977 * i, "user" if i % 2 else "assistant", str(i)) for i in range(10)] + [(4, 1_700_000_000, "system", "stamped"), (4, 1_700_004_000, "system", "again")]
+    df = spark.createDataFrame([(*r, "clash", 0) for r in rows], "conv_id long, turn long, role string, text string, speaker string, place int")
+    found = chat_format.render_perspectives(df, part_turns).collect()
+    assert sorted(((r.conv_id, r.participant, r.part, r.text, r.mask) for r in found), key=str) == slow_views(rows, part_turns)
     for r in found:
         spans = [tuple(map(int, s.split(":"))) for s in r.mask.split(",") if s]
         assert r.n_masked == sum(b - a for a, b in spans)
+        assert r.n_turns == r.text.count("<|im_start|>")
         assert all(r.text[a:b].endswith("<|im_end|>") for a, b in spans)
-    assert chat_format.render_perspectives(df.limit(0)).collect() == []
+    if part_turns is None:
+        assert len(found) == len({(r.conv_id, r.participant) for r in found})
+    assert chat_format.render_perspectives(df.limit(0), part_turns).collect() == []
+
+
+PARAGRAPH = "<p>" + "Plain words of the story stand here. " * 10 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'>{PARAGRAPH}</div>",
+        f"<div class='content no-sidebar'>{PARAGRAPH}</div>",
+        f"<div id=page class='site header-fixed'><article>{PARAGRAPH}</article></div>",
+        f"<section class='post with-comments'>{PARAGRAPH}</section>",
+        f"<nav>{PARAGRAPH * 5}</nav><div class='site header-fixed'>{PARAGRAPH}</div>",
+    ],
+)
+def test_names_of_wrappers_do_not_drop_the_page(page):
+    assert html_main.main_text(page, {}) == "Plain words of the story stand here. " * 9 + "Plain words of the story stand here."
+
+
+def test_names_of_small_parts_still_do():
+    page = f"<div class=content>{PARAGRAPH * 4}</div><div class='comments-list'>{PARAGRAPH}</div><div class=sidebar>{PARAGRAPH}</div>"
+    assert html_main.main_text(page, {}).count("story") == 40
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div>" * 100_000 + "deep" + "</div>" * 100_000, "deep"),
+        ("<p>kept</p>" + "<a b='c' " * 50_000, None),
+        ("<p>kept</p>" + "<svg " * 50_000, None),
+        ("<p>kept</p>" + "<!-- " * 50_000, "kept"),
+    ],
+)
+def test_deep_and_unclosed_pages_take_linear_time(page, text):
+    start = time.perf_counter()
+    found = html_main.main_text(page, {})
+    assert time.perf_counter() - start < 20
+    assert found == text if text else found.startswith("kept")
 
 
 @pytest.mark.parametrize("name", ORACLE)
