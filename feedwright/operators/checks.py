@@ -6,6 +6,8 @@ customers describe dirty sources and are for information.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,13 +66,35 @@ def _one_row(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
-def _orphans(facts: DataFrame, known: DataFrame, products: DataFrame, name: str, small: bool) -> DataFrame:
-    """Rows of `facts` without a known customer, and those without a known product, in one row."""
-    no_customer, no_product = f"{name}_orphaned_customer", f"{name}_unknown_product"
-    if not small:
-        by_customer = count_by_match(facts, known, "customer_id", "left_anti").withColumnRenamed("n", no_customer)
-        by_product = count_by_match(facts, products, "product_id", "left_anti").withColumnRenamed("n", no_product)
-        return _one_row(by_customer, by_product)
+def _by_kind(facts: DataFrame, name: str) -> DataFrame:
+    """Both keys of each fact as (kind, key), one row of `name` each."""
+    both = F.array(
+        F.struct(F.lit("customer").alias("kind"), F.col("customer_id").alias("key")),
+        F.struct(F.lit("product").alias("kind"), F.col("product_id").alias("key")),
+    )
+    return facts.select(F.lit(name).alias("table"), F.inline(both))
+
+
+def _orphans_by_kind(known: DataFrame, products: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+    """Orphans where product ids fit no broadcast: the keys of all facts are counted by kind in one shuffle and matched once."""
+    tagged = reduce(DataFrame.unionAll, (_by_kind(df, name) for name, df in facts.items()))
+    counted = tagged.groupBy("kind", "key").agg(*(F.count_if(F.col("table") == name).alias(name) for name in facts))
+    listed = (
+        known.select(F.lit("customer").alias("kind"), F.col("customer_id").alias("key"))
+        .unionAll(products.select(F.lit("product"), "product_id"))
+        .distinct()
+    )
+    alone = counted.join(listed, ["kind", "key"], "left_anti")
+    sums = (
+        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(name))), F.lit(0)).alias(f"{name}_{said}")
+        for name in facts
+        for kind, said in (("customer", "orphaned_customer"), ("product", "unknown_product"))
+    )
+    return alone.agg(*sums)
+
+
+def _orphans(facts: DataFrame, known: DataFrame, products: DataFrame, name: str) -> DataFrame:
+    """Rows of `facts` without a known customer, and those without a known product, in one row; product ids fit a broadcast."""
     listed = products.select("product_id").distinct().withColumn("_listed", F.lit(True))
     flagged = facts.select("customer_id", "product_id").join(F.broadcast(listed), "product_id", "left")
     unlisted = F.count_if(F.col("_listed").isNull()).alias("unlisted")
@@ -78,8 +102,8 @@ def _orphans(facts: DataFrame, known: DataFrame, products: DataFrame, name: str,
     ids = known.select("customer_id").distinct().withColumn("_known", F.lit(True))
     matched = per_customer.join(ids, "customer_id", "left")
     return matched.agg(
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias(no_customer),
-        F.coalesce(F.sum("unlisted"), F.lit(0)).alias(no_product),
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias(f"{name}_orphaned_customer"),
+        F.coalesce(F.sum("unlisted"), F.lit(0)).alias(f"{name}_unknown_product"),
     )
 
 
@@ -87,10 +111,11 @@ def orphan_records(customers: DataFrame, events: DataFrame, products: DataFrame,
     """Events and orders that point at no known customer or product, in one row.
 
     `customers` may hold duplicates, only the set of ids matters. An empty id is never a known
-    customer, so such ids are kept out of the match. With product ids measured to fit a
-    broadcast, each fact table is read and shuffled once, a row per customer and map task.
+    customer, so such ids are kept out of the match. Each fact table is read once and reduced to a
+    row per key and map task before it moves, whether product ids fit a broadcast or not.
     """
     known = customers.filter(present("customer_id"))
-    small = fits_broadcast(products.select("product_id"))
-    counted = (_orphans(facts, known, products, name, small) for name, facts in (("events", events), ("orders", orders)))
-    return _one_row(*counted)
+    facts = {"events": events, "orders": orders}
+    if not fits_broadcast(products.select("product_id")):
+        return _orphans_by_kind(known, products, facts)
+    return _one_row(*(_orphans(df, known, products, name) for name, df in facts.items()))

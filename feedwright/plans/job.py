@@ -12,8 +12,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from feedwright.operators import build, checks, identifiers, profile, validation
-from feedwright.plans.session import shuffle_partitions
+from feedwright.operators import build, checks, daily, identifiers, profile, validation
 from feedwright.schemas import TABLES
 from feedwright.sources import contracts, csv, tables
 from feedwright.spec import FeedSpec
@@ -49,18 +48,26 @@ def land(
     return build.Sources(**landed)
 
 
-def build_feed(sources: build.Sources, spec: FeedSpec, out: str, provision: bool = False) -> build.FeedTables:
+def build_feed(
+    sources: build.Sources, spec: FeedSpec, out: str, provision: bool = False, daily_store: str | None = None
+) -> build.FeedTables:
     """Store the deduplicated base, both rollups and the feed; export the feed as CSV.
 
     `provision` fills in missing hashes of valid emails in the base. The four relations are
     unique by customer and stored bucketed by it, so the feed and its audit do not shuffle them
-    again.
+    again. With `daily_store` the rollups are added up from its days (`daily.refresh_days`).
     """
     lazy = build.build(sources, spec)
-    buckets = shuffle_partitions(sources.customers.sparkSession)
+    # How large all four are made; of a landed table the footers tell its rows.
+    rows = sources.customers.count()
+    if daily_store is not None:
+        spark = sources.customers.sparkSession
+        lazy = lazy._replace(
+            engagement=daily.engagement_of_days(spark, daily_store, spec), orders=daily.orders_of_days(spark, daily_store, spec)
+        )
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        return tables.store_by_key(df, f"{out}/tables/{name}", "customer_id", buckets)
+        return tables.store_by_key(df, f"{out}/tables/{name}", "customer_id", rows)
 
     deduped = store(identifiers.provision_hash(lazy.deduped) if provision else lazy.deduped, "deduped_customers")
     engagement = store(lazy.engagement, "customer_engagement")
@@ -113,17 +120,17 @@ def validate_feed(spark: SparkSession, feed_path: str, spec: FeedSpec, out: str,
     """Validate a delivered CSV feed; write the summary and the cleaned feed.
 
     Rows with too few fields are filled with blanks, which the checks count; fields beyond the
-    header are left out, and how many rows have them is printed. Returns 0 if the feed passes, 2
-    if a check fails, and 1 if there is no feed.
+    header are left out, and how many rows have them is printed. The file is parsed once, into
+    `<out>/delivered`. Returns 0 if the feed passes, 2 if a check fails, and 1 if there is no feed.
     """
     try:
-        feed = csv.read_delivered(spark, feed_path, multiline)
+        feed, ragged_rows = csv.stage_delivered(spark, feed_path, f"{out}/delivered", multiline)
     except AnalysisException as error:
         if not csv.is_missing_path(error):
             raise
         print(f"Feed not found: {feed_path}. Build it first.", file=sys.stderr)
         return 1
-    [ragged] = csv.ragged_rows(spark, feed_path, multiline).collect()
+    [ragged] = ragged_rows.collect()
     if ragged["short_rows"] or ragged["long_rows"]:
         print(f"Rows with too few fields: {ragged['short_rows']}, with too many: {ragged['long_rows']}.", file=sys.stderr)
     csv.write_csv(validation.validation_report(feed, spec), f"{out}/data_quality_summary")

@@ -11,8 +11,13 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 from feedwright.operators.build import FeedTables, Sources, category_events
+from feedwright.plans.session import shuffle_partitions
 from feedwright.spec import FeedSpec
 
+# A relation with at most so many buckets takes as many as a shuffle has partitions; beyond, one for so many rows.
+FEW_BUCKETS = 1000
+ROWS_PER_BUCKET = 1_000_000
+
 
 def store(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replace the table at `path` and return it as stored, so later steps start from the files.
@@ -27,20 +32,49 @@ def store(df: DataFrame, path: str, partition_by: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def store_by_key(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+def bucket_number(spark: SparkSession, rows: int) -> int:
+    """Buckets of a relation of at most `rows` rows.
+
+    As many as a shuffle starts with, if these are few: rows that were shuffled by the key then stay
+    where they are. A job over much larger facts has far more; there the relation's own rows decide,
+    below the most that Spark allows.
+    """
+    partitions = shuffle_partitions(spark)
+    if partitions <= FEW_BUCKETS:
+        return partitions
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(FEW_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+
+
+def store_by_key(df: DataFrame, path: str, key: str, rows: int) -> DataFrame:
     """Replace the table at `path`, bucketed and sorted by `key`, and return it as stored.
 
     For relations unique by `key`, which have no hot one: joins and groupings of such tables by
-    that key move no rows. `buckets` should be the number of partitions a shuffle starts with, as
-    rows that were shuffled by the key then go to one file a bucket. The files are plain Parquet;
-    that they are bucketed only this session's catalog knows.
+    that key move no rows. `rows` is the most it may have; relations stored with the same number
+    are bucketed alike. The files are plain Parquet; that they are bucketed only this session's
+    catalog knows, until `forget_stored`.
     """
     spark = df.sparkSession
+    buckets = bucket_number(spark, rows)
+    if buckets != shuffle_partitions(spark):
+        # One file a bucket, and not one for each of many tasks.
+        df = df.repartition(buckets, key)
     name = f"stored_{uuid.uuid4().hex}"
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    _stored.append(name)
     return spark.table(name)
 
 
+# Names in the catalog of tables stored by key in this process.
+_stored: list[str] = []
+
+
+def forget_stored(spark: SparkSession) -> None:
+    """Take the tables stored by key out of the catalog; their files stay."""
+    while _stored:
+        spark.sql(f"DROP TABLE IF EXISTS {_stored.pop()}")
+
+
 def register_views(
     sources: Sources, tables: FeedTables, spec: FeedSpec, small_products: bool | None = None
 ) -> None:

@@ -37,13 +37,14 @@ _HASH = (
 CUSTOMER_BASE = {
     "k": "k",
     "copy": "copy",
-    "email_base": """CASE WHEN k % 26 = 4 THEN NULL WHEN k % 26 = 17 THEN ''
-        WHEN k % 100 = 7 THEN concat('user', k, 'mail.example.com')
-        WHEN k % 100 = 27 THEN concat('user', k, '@@mail.example.com')
-        WHEN k % 100 = 47 THEN concat('user', k, '@mail.example.com.')
-        WHEN k % 100 = 67 THEN concat('user', k, ' @ mail.example.com')
-        WHEN k % 100 = 87 THEN concat('user', k, '@mail')
-        WHEN k % 100 = 37 THEN concat('user', k, '@mail.example.c')
+    # Six addresses in a hundred are missing, and two of each broken kind.
+    "email_base": f"""CASE WHEN {draw(4)} < 3 THEN NULL WHEN {draw(4)} < 6 THEN ''
+        WHEN {draw(4)} < 8 THEN concat('user', k, 'mail.example.com')
+        WHEN {draw(4)} < 10 THEN concat('user', k, '@@mail.example.com')
+        WHEN {draw(4)} < 12 THEN concat('user', k, '@mail.example.com.')
+        WHEN {draw(4)} < 14 THEN concat('user', k, ' @ mail.example.com')
+        WHEN {draw(4)} < 16 THEN concat('user', k, '@mail')
+        WHEN {draw(4)} < 18 THEN concat('user', k, '@mail.example.c')
         ELSE concat('User', k, '@mail.example.com') END""",
 }
 
@@ -125,8 +126,15 @@ DAMAGED = {
     "zip_code": "CASE WHEN total_purchases > 9 THEN substring(zip_code, 2) ELSE zip_code END",
 }
 
-SPARK = {"sha": "sha2(lower(email_base), 256)", "sha_raw": "sha2(email, 256)"}
-DUCKDB = {"sha": "sha256(lower(email_base))", "sha_raw": "sha256(email)"}
+# Rows with nothing to complain of.
+COMPLETE = "length(zip_code) = 5 AND length(hashed_email) = 64"
+
+# A product name over several lines, with quotes and separators.
+BROKEN_NAME = """CASE WHEN length(product_name) % 2 = 0 THEN concat('"', replace(product_name, ' ', '"{lf}, "'), '"')
+    ELSE concat('{lf}', product_name, ', "x"{lf}{lf}') END"""
+
+SPARK = {"lf": "\\n", "sha": "sha2(lower(email_base), 256)", "sha_raw": "sha2(email, 256)"}
+DUCKDB = {"lf": "' || chr(10) || '", "sha": "sha256(lower(email_base))", "sha_raw": "sha256(email)"}
 
 
 def columns(rules: dict[str, str], dialect: dict[str, str]) -> list[str]:

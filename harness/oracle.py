@@ -204,6 +204,8 @@ _FINAL = {
     "customer_engagement": "SELECT * FROM engagement",
     "customer_engagement_direct": "SELECT * FROM engagement",
     "customer_orders": "SELECT * FROM order_rollup",
+    "engagement_of_days": "SELECT * FROM engagement",
+    "orders_of_days": "SELECT * FROM order_rollup",
     "audience_feed": "SELECT * FROM feed",
     "feed_preview": "SELECT * FROM feed ORDER BY engagement_score DESC, customer_id LIMIT 20",
     "exclusion_funnel": f"""WITH t AS (SELECT count(*) AS engaged, count(*) FILTER (opt_out_flag = 1) AS out,
@@ -294,6 +296,10 @@ _FINAL = {
     "csv_roundtrip": "SELECT " + ", ".join(
         f"NULLIF(CAST({c} AS VARCHAR), '') AS {c}" for c in FEED_COLUMNS
     ) + " FROM feed",
+    "validation_exit_status": "SELECT 'absent' AS delivery, 1 AS exit_status"
+    f" UNION ALL SELECT 'damaged', if(passed, 0, 2) FROM ({_gate('damaged_feed')})"
+    f" UNION ALL SELECT 'complete', if(passed, 0, 2) FROM ({_gate(f'(SELECT * FROM feed WHERE {fx.COMPLETE})')})",
+    "csv_line_breaks": _replaced(TABLES["products"].names, {"product_name": fx.BROKEN_NAME}, "src_products"),
     "validated_csv_report": _report("damaged_feed"),
     "validated_csv_clean": "SELECT "
     + ", ".join(f"NULLIF(CAST({c} AS VARCHAR), '') AS {c}" for c in (*FEED_COLUMNS, "matchable_flag", "dq_notes"))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedwright.functions.numbers import rows
-from feedwright.operators import build, checks, identifiers, profile, validation
+from feedwright.operators import build, checks, daily, identifiers, profile, validation
 from feedwright.plans import job
 from feedwright.schemas import DEFAULTS, TABLES
 from feedwright.sources import contracts, csv, tables
@@ -166,6 +168,41 @@ def _landed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, map(counted, TABLES))
 
 
+def _exit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the validation of a feed ends that is not there, that is damaged, and of which only complete rows are delivered."""
+    folder = tables.work_folder(spark)
+    built = _built(spark, sf_dir)
+    csv.write_csv(_damaged(built), f"{folder}/damaged")
+    csv.write_csv(built.feed.filter(fx.COMPLETE), f"{folder}/complete")
+    ends = [(name, job.validate_feed(spark, f"{folder}/{name}", SPEC, f"{folder}/of_{name}")) for name in ("absent", "damaged", "complete")]
+    said = ", ".join(f"('{name}', {status})" for name, status in ends)
+    return spark.sql(f"SELECT * FROM VALUES {said} AS ends(delivery, exit_status)")
+
+
+def _csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with line breaks and quotes in their names, written to CSV, put together from its lines and parsed."""
+    folder = tables.work_folder(spark)
+    csv.write_csv(fx.replace_columns(fx.products(spark, sf_dir), {"product_name": fx.BROKEN_NAME}), folder)
+    return csv.read_table(spark, "products", folder, multiline=True)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """A store of daily sums of the window of the day before, brought to the window of the day."""
+    store = tables.work_folder(spark)
+    source = fx.sources(spark, sf_dir)
+    daily.refresh_days(source, replace(SPEC, as_of=SPEC.as_of - timedelta(1)), store)
+    daily.refresh_days(source, SPEC, store)
+    return store
+
+
+def _engagement_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.engagement_of_days(spark, _refreshed(spark, sf_dir), SPEC)
+
+
+def _orders_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.orders_of_days(spark, _refreshed(spark, sf_dir), SPEC)
+
+
 def _view_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The preview in SQL over the registered views."""
     tables.register_views(fx.sources(spark, sf_dir), _built(spark, sf_dir), SPEC)
@@ -215,4 +252,8 @@ QUERIES: dict[str, Query] = {
     "landed_quarantine": _landed_quarantine,
     "view_preview": _view_preview,
     "feed_from_csv": _feed_from_csv,
+    "validation_exit_status": _exit_status,
+    "csv_line_breaks": _csv_line_breaks,
+    "engagement_of_days": _engagement_of_days,
+    "orders_of_days": _orders_of_days,
 }

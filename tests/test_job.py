@@ -10,7 +10,8 @@ from feedwright import FeedSpec
 from feedwright.__main__ import main
 from feedwright.operators import build
 from feedwright.plans import job
-from feedwright.sources import contracts, csv
+from feedwright.plans import session
+from feedwright.sources import contracts, csv, publish, tables
 
 from helpers import JOB_FAILURES, plan, tuples
 
@@ -53,8 +54,13 @@ def build_args(folder, *more):
     return ["build", *files, "--out", str(folder / "out"), "--as-of", "2026-09-21", "--category", "Skincare", *more]
 
 
-def report(spark, folder, name):
-    return sorted(tuples(csv.read_text(spark, str(folder / "out" / name))))
+def current(spark, folder, job="build"):
+    """The folder of the published run."""
+    return publish.current(spark, str(folder / "out"), job)
+
+
+def report(spark, folder, name, job="build"):
+    return sorted(tuples(csv.read_text(spark, f"{current(spark, folder, job)}/{name}")))
 
 
 EXPECTED = [
@@ -77,17 +83,18 @@ def test_build_validate(spark, inputs, more):
         ("excluded_opt_out", "1", "25.0"),
         ("final_feed", "2", "50.0"),
     ]
-    assert len(list((inputs / "out" / "audit").iterdir())) == 19
+    audit = Path(current(spark, inputs)) / "audit"
+    assert len(list(audit.iterdir())) == 19
 
     # A report without rows still has its header.
-    empty = csv.read_text(spark, str(inputs / "out" / "audit" / "duplicate_feed_ids"))
+    empty = csv.read_text(spark, str(audit / "duplicate_feed_ids"))
     assert empty.columns == ["customer_id", "occurrences"] and empty.count() == 0
 
     out = str(inputs / "out")
-    assert main(["validate", "--feed", f"{out}/audience_feed", "--out", out]) == 2
-    summary = dict(row[:2] for row in report(spark, inputs, "data_quality_summary"))
+    assert main(["validate", "--built", out, "--out", out]) == 2
+    summary = dict(row[:2] for row in report(spark, inputs, "data_quality_summary", "validate"))
     assert summary["matchability: valid email + hash"] == "50.0% (1/2)"
-    assert [row[1:3] + row[-2:] for row in report(spark, inputs, "audience_feed_clean")] == [
+    assert [row[1:3] + row[-2:] for row in report(spark, inputs, "audience_feed_clean", "validate")] == [
         ("ann@b.com", "h1", "1", "missing_zip"),
         ("bob@b.com", None, "0", "missing_hashed_email:unmatchable"),
     ]
@@ -103,7 +110,7 @@ def test_validate_single_file(spark, tmp_path, capsys):
     assert main(["validate", "--feed", str(tmp_path / "feed.csv"), "--out", str(tmp_path / "out")]) == 0
     assert "All checks passed" in capsys.readouterr().out
     # The summary keeps the order of the checks.
-    metrics = [row["metric"] for row in csv.read_text(spark, str(tmp_path / "out" / "data_quality_summary")).collect()]
+    metrics = [row["metric"] for row in csv.read_text(spark, f"{current(spark, tmp_path, 'validate')}/data_quality_summary").collect()]
     assert metrics[0] == "required_columns_present" and metrics[-1] == "malformed_zip_present" and len(metrics) == 11
 
 
@@ -118,7 +125,7 @@ def test_nulls_in_mandatory_columns(spark, inputs):
     with pytest.raises(JOB_FAILURES, match="events.event_type is null"):
         main(build_args(inputs))
     assert main(build_args(inputs, "--quarantine")) == 0
-    rejected = spark.read.parquet(str(inputs / "out" / "rejected" / "events"))
+    rejected = spark.read.parquet(f"{current(spark, inputs)}/rejected/events")
     assert [(row["event_id"], row["violations"]) for row in rejected.collect()] == [("E2", "event_type")]
     assert [row[0] for row in report(spark, inputs, "audience_feed")] == ["C1"]
 
@@ -133,8 +140,8 @@ def validated(spark, folder, text):
     """Exit status, values by metric, and the cleaned rows of a delivered file."""
     (folder / "feed.csv").write_text(text)
     status = main(["validate", "--feed", str(folder / "feed.csv"), "--out", str(folder / "out")])
-    rows = csv.read_text(spark, str(folder / "out" / "data_quality_summary")).collect()
-    return status, {row["metric"]: (row["value"], row["status"]) for row in rows}, report(spark, folder, "audience_feed_clean")
+    rows = csv.read_text(spark, f"{current(spark, folder, 'validate')}/data_quality_summary").collect()
+    return status, {row["metric"]: (row["value"], row["status"]) for row in rows}, report(spark, folder, "audience_feed_clean", "validate")
 
 
 def test_short_and_long_rows_are_filled_counted_and_told(spark, tmp_path, capsys):
@@ -212,6 +219,91 @@ def test_stored_relations_move_no_rows_again(spark, inputs):
         spark.conf.set(key, before)
 
 
+def test_a_failing_rebuild_leaves_the_published_feed(spark, inputs, monkeypatch):
+    assert main(build_args(inputs)) == 0
+    before = current(spark, inputs)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(job, "audit_feed", fail)
+    (inputs / "customers.csv").write_text(FILES["customers"].replace("bob@", "rob@"))
+    with pytest.raises(RuntimeError, match="lost"):
+        main(build_args(inputs))
+    # The new feed has been written, but nobody is led to it.
+    assert len(list((inputs / "out" / "runs").iterdir())) == 2
+    assert current(spark, inputs) == before and report(spark, inputs, "audience_feed") == EXPECTED
+    monkeypatch.undo()
+    assert main(build_args(inputs)) == 0
+    assert current(spark, inputs) != before
+    assert report(spark, inputs, "audience_feed")[1][1] == "rob@b.com"
+    assert [row["job"] for row in publish.published(spark, str(inputs / "out")).collect()] == ["build", "build"]
+
+
+def test_nothing_published(spark, inputs, capsys):
+    assert publish.current(spark, str(inputs / "none"), "build") is None
+    assert main(["validate", "--built", str(inputs / "none"), "--out", str(inputs / "out")]) == 1
+    assert "not found" in capsys.readouterr().err and publish.current(spark, str(inputs / "out"), "validate") is None
+
+
+def test_the_catalog_is_left_as_it_was(spark, inputs):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert main(build_args(inputs)) == 0
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert len(list((Path(current(spark, inputs)) / "tables" / "audience_feed").glob("*.parquet"))) > 0
+
+
+def test_a_feed_of_a_huge_input_has_few_buckets(spark, inputs):
+    """The shuffles of 100 TB have more partitions than Spark allows buckets."""
+    keys = (session.SHUFFLE, session.INITIAL)
+    before = {key: spark.conf.get(key, None) for key in keys}
+    try:
+        for key in keys:
+            spark.conf.unset(key)
+        session.size_shuffles(spark, 10**14)
+        assert session.shuffle_partitions(spark) > 700_000
+        assert tables.bucket_number(spark, 5) == tables.FEW_BUCKETS
+        assert tables.bucket_number(spark, 5 * 10**9) == 5000
+        assert tables.bucket_number(spark, 10**12) == 100_000
+        # The shuffles themselves stay small here; what is stored is planned as on the large input.
+        spark.conf.set(session.INITIAL, "4")
+        spec = FeedSpec(date(2026, 9, 21), "Skincare")
+        sources = job.land(spark, {name: str(inputs / f"{name}.csv") for name in FILES}, str(inputs / "out"))
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(tables, "shuffle_partitions", lambda _: 745_059)
+            patch.setattr(tables, "FEW_BUCKETS", 3)
+            built = job.build_feed(sources, spec, str(inputs / "out"))
+        assert sorted(row[0] for row in built.feed.collect()) == ["C1", "C2"]
+        again = plan(build.audience_feed(built.deduped, built.engagement, built.orders, spec), "simple")
+        assert "Exchange hashpartitioning(customer_id" not in again
+        files = list((inputs / "out" / "tables" / "deduped_customers").glob("*.parquet"))
+        assert 1 <= len(files) <= 3
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_build_from_daily_sums(spark, inputs):
+    store = str(inputs / "daily")
+    more = ("--daily-store", store)
+    assert main(build_args(inputs, *more)) == 0
+    assert report(spark, inputs, "audience_feed") == EXPECTED
+    # Facts of days that are stored are not looked at again, unless they are said to have changed.
+    (inputs / "events.csv").write_text(FILES["events"].replace("E2,C2,page_view", "E2,C2,purchase"))
+    assert main(build_args(inputs, *more)) == 0
+    assert report(spark, inputs, "audience_feed") == EXPECTED
+    assert main(build_args(inputs, *more, "--changed-days", "2026-09-21")) == 0
+    assert report(spark, inputs, "audience_feed")[1][8] == "10"
+
+
+def test_a_delivered_file_is_parsed_once(spark, tmp_path):
+    (tmp_path / "feed.csv").write_text(HEADER + "C1,a@b.com,h,02108,Skincare,2026-09-01,0,0.00,1,0,low\n")
+    feed, ragged = csv.stage_delivered(spark, str(tmp_path / "feed.csv"), str(tmp_path / "staged"))
+    for df in (feed, ragged):
+        assert "Scan parquet" in plan(df) and "Scan csv" not in plan(df)
+    assert feed.columns == HEADER.strip().split(",")
+
+
 def test_window_defaults_to_today(monkeypatch):
     spec = FeedSpec.today(category="Tools")
     assert (spec.as_of, spec.category, spec.window_days) == (date.today(), "Tools", 90)

@@ -119,3 +119,26 @@ def test_null_keys_are_spread_without_bound(spark, dimension):
         for key, value in before.items():
             spark.conf.set(key, value)
     assert sum(sizes) == 6000 and len(sizes) > 30 and max(sizes) < 1000
+
+
+def test_heavy_keys_are_found_without_counting_every_key(spark, facts, monkeypatch):
+    monkeypatch.setattr(joins, "HEAVY_KEYS", 100)
+    found = {row["key"]: row["_salts"] for row in joins.heavy_keys(facts, "key").collect()}
+    counts = Counter(row["key"] for row in facts.collect())
+    total = sum(n for key, n in counts.items() if key is not None)
+    assert found == {key: -(-n * 100 // total) for key, n in counts.items() if key is not None and n > total / 100}
+    assert joins.heavy_keys(facts.limit(0), "key").collect() == []
+
+
+def test_more_keys_than_a_summary_tracks(spark):
+    """A key with a hundredth of a million rows stands out of half a million others."""
+    key = F.when(F.col("id") % 100 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500_009))
+    many = spark.range(0, 1_000_000, numPartitions=8).select(key.alias("key"))
+    [row] = joins.heavy_keys(many, "key").collect()
+    assert row["key"] == "hot" and 10 <= row["_salts"] <= 12
+
+
+def test_no_count_by_key_before_the_join(facts, dimension):
+    """Facts are shuffled for the join and for nothing else."""
+    text = plan(joins.lookup_join(facts, dimension, "key", fits=False), "simple")
+    assert text.count("Exchange hashpartitioning(key") == 2 and "keys=[key" not in text

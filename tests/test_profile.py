@@ -133,7 +133,9 @@ def test_event_dates(spark):
     assert tuples(checks.event_date_quality(events, SPEC)) == [(1, 1, 1)]
 
 
-def test_orphans(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_orphans(spark, monkeypatch, small):
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: small)
     # Duplicate, empty and null ids among the known ones must not hide or multiply orphans.
     customers = table(spark, "customers", [{"customer_id": c} for c in ("A", "A", "", None)])
     products = table(spark, "products", [{"product_id": p} for p in ("P1", "P1", None)])
@@ -150,6 +152,31 @@ def test_orphans(spark):
     assert tuples(checks.orphan_records(customers, *none)) == [(0, 0, 0, 0)]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_orphans_read_and_move_each_fact_once(spark, monkeypatch, tmp_path, small):
+    """One scan of events and of orders, reduced before the shuffle, whether product ids fit a broadcast or not."""
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: small)
+    rows = {"customers": [{"customer_id": "A"}], "products": [{"product_id": "P1"}], "events": [{"customer_id": "A"}], "orders": [{"customer_id": "B"}]}
+    stored = {}
+    for name, own in rows.items():
+        table(spark, name, own).write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        found = checks.orphan_records(*(stored[n] for n in ("customers", "events", "products", "orders")))
+        formatted, lines = plan(found), plan(found, "simple").splitlines()
+    finally:
+        spark.conf.set(key, before)
+    for name in ("events", "orders"):
+        assert sum(f"/{name}]" in line for line in formatted.splitlines() if "Location" in line) == 1
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(" in line]
+    # A fact, its known customers and the products twice; or the keys of all facts and all known keys.
+    assert len(below) == (6 if small else 2)
+    assert all("HashAggregate(keys=" in line for line in below)
+
+
 def test_provisioned_hashes_are_consistent(spark):
     customers = table(
         spark,
