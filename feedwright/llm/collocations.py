@@ -289,7 +289,8 @@ def collocations(
     heavy = np.array([r["h"] for r in by_hash.collect()], np.int64).astype(np.uint64)
     buckets = max(1, -(-total // BUCKET_WORDS))
     blobs = texts.mapInArrow(_suffixes(CHUNK_WORDS, buckets, heavy), BLOBS)
-    partial = blobs.groupBy("bucket").applyInArrow(_phrases(least, heavy), PHRASES)
+    # As many partitions as buckets, so that what a task reads does not grow with the input.
+    partial = blobs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_phrases(least, heavy), PHRASES)
     phrases = stored(partial.groupBy("lang", "w1", "w2", "w3").agg(F.sum("a").alias("a")).filter(F.col("a") >= least))
 
     pairs = phrases.filter("w3 IS NULL").select("lang", "w1", "w2", "a")
