@@ -11,11 +11,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import ascii_lower, join_groups, stored
+from feedwright.llm.common import HEAVY, ascii_lower, join_groups, stored
 
 # Bytes by which the first round splits; each further round takes GROWTH times more.
 FIRST = 64
 GROWTH = 8
+# Bytes of heavy groups' keys and numbers that are broadcast at most.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def _split(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,6 +26,28 @@ def _split(rows: DataFrame, keys: list[str]) -> DataFrame:
     return stored(groups.withColumn("part", F.monotonically_increasing_id()))
 
 
+def _join(rows: DataFrame, groups: DataFrame, digit: str, within: str, how: str = "inner") -> DataFrame:
+    """`join_groups` by a digit that may be as long as a text.
+
+    Groups with more than 1/HEAVY of the rows are broadcast only if their measured bytes fit. If not,
+    they are told by a hash, of which fewer than HEAVY are broadcast; their rows are spread over as
+    many salts as they have such parts, two at most for two rows, and each group goes to its salts.
+    """
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    top = groups.filter(F.col("size") > total / HEAVY)
+    wide = top.agg(F.sum(F.octet_length(digit) + 64).alias("bytes")).first()["bytes"] or 0
+    if wide <= BROADCAST_BYTES:
+        return join_groups(rows, groups, [within, digit], "size", how)
+    name = F.xxhash64(within, digit).alias("_name")
+    parts = F.ceil(F.col("size") * HEAVY / total).cast("bigint")
+    listed = F.broadcast(top.groupBy(name).agg(F.max(F.least("size", parts)).alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1).cast("bigint"))
+    spread = rows.withColumn("_name", name).join(listed, "_name", "left").withColumn("_salt", F.pmod(F.xxhash64("rid"), salts))
+    repeated = groups.withColumn("_name", name).join(listed, "_name", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    spread, repeated = spread.drop("_name", "_salts"), repeated.drop("_name", "_salts")
+    return spread.join(repeated.hint("merge"), [within, digit, "_salt"], how).drop("_salt")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of `docs` with keep_id, group_size and kept.
 
@@ -48,7 +72,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.monotonically_increasing_id().alias("rid"),
     )
     groups = _split(inner, ["bytes", "digit"])
-    placed = stored(join_groups(inner, groups, ["bytes", "digit"], "size", "left").drop("digit", "size"))
+    placed = stored(_join(inner, groups, "digit", "bytes", "left").drop("digit", "size"))
 
     again = placed.filter("part IS NOT NULL")
     text = ascii_lower(F.col(f"doc.`{text_col}`")).cast("binary")
@@ -62,7 +86,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         groups = _split(rows, ["within", "digit"])
         start, width = start + width, width * GROWTH
         over = F.col("bytes") <= start
-        again_equal = join_groups(rows, groups, ["within", "digit"], "size").drop("within", "digit", "size")
+        again_equal = _join(rows, groups, "digit", "within").drop("within", "digit", "size")
         active = stored(again_equal.withColumn("data", F.when(~over, F.col("data"))))
         ended.append(active.filter(over).select("rid", "part", "id"))
         active = active.filter(~over)

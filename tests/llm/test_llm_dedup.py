@@ -30,14 +30,14 @@ def expected_exact(rows):
     return sorted(out, key=str)
 
 
-def test_exact_dedup_of_awkward_rows(awkward):
+def test_exact_moduleof_awkward_rows(awkward):
     found = exact_dedup(awkward)
     assert found.columns == [c for c in awkward.columns if c not in ("kept", "keep_id")] + ["keep_id", "group_size", "kept"]
     got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in found.collect()), key=str)
     assert got == expected_exact([(r.doc_id, r.text) for r in awkward.collect()])
 
 
-def test_exact_dedup_splits_late_differences(spark, monkeypatch):
+def test_exact_modulesplits_late_differences(spark, monkeypatch):
     monkeypatch.setattr(exact_module, "FIRST", 4)
     monkeypatch.setattr(exact_module, "GROWTH", 2)
     rng = random.Random(1)
@@ -47,7 +47,7 @@ def test_exact_dedup_splits_late_differences(spark, monkeypatch):
     assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in found.collect()), key=str) == expected_exact(rows)
 
 
-def test_exact_dedup_of_nothing(no_docs):
+def test_exact_moduleof_nothing(no_docs):
     assert exact_dedup(no_docs).collect() == []
 
 
@@ -232,3 +232,13 @@ def test_suffix_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in read(spark, sf, "documents").select("doc_id", "text").collect()]
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in QUERIES["op5_suffix_dedup"](spark, sf).collect()}
     assert found == {i: (n, m, s) for i, n, m, s, _ in slow_suffix(rows)}
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_long_equal_texts_are_broadcast_only_within_measured_bytes(spark, monkeypatch, limit):
+    """Late rounds have few groups, each a large share of the rows, with digits as long as their texts."""
+    monkeypatch.setattr(exact_module, "BROADCAST_BYTES", limit)
+    rows = [(i, "x" * 9000 + f"{i // 2:05d}" * 900) for i in range(120)] + [(200 + i, "y" * 12_000) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(df).collect()}
+    assert found == {i: (i | 1, 2, i % 2 == 1) for i in range(120)} | {200 + i: (229, 30, i == 29) for i in range(30)}
