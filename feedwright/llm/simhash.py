@@ -293,8 +293,10 @@ def near_duplicates(
     distinct = stored(rows.groupBy("fp").agg(first.alias("least"), F.count(F.lit(1)).alias("rows")))
     roots = components(near_links(distinct, max_bits))
     rooted = distinct.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("first"))
-    named = stored(rooted.join(names.hint("merge"), "root").select("fp", "first", "rows"))
+    # Rows of a component that holds many fingerprints stay where they are.
+    rooted = stored(rooted.select("fp", "least", "rows", "root", F.col("fp").alias("rid")))
+    names = stored(rooted.groupBy("root").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("size")))
+    named = stored(join_groups(rooted, names, ["root"], "size").select("fp", "first", "rows"))
     found = join_groups(rows, named, ["fp"], "rows")
     return found.select(
         *(F.col(f"doc.`{c}`").alias(c) for c in columns),
