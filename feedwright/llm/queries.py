@@ -76,7 +76,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan_secrets(docs, ranks=secret_scan.learn_words(docs))
 
     def of(kind: str) -> Column:
         return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -93,6 +94,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("findings")).alias("spans"),
         of("guess"),
+        F.array_max(F.transform("findings", lambda f: f["log10_guesses"])).alias("most_log10_guesses"),
     )
 
 

@@ -2,7 +2,8 @@
 
 How hard a value is to guess is the cheapest way to put it together from words, dates, repeats,
 keyboard walks, counting sequences and brute-force characters, found by dynamic programming
-over its positions. Costs are decimal logarithms of guesses and add up.
+over its positions. Costs are decimal logarithms of guesses and add up. Words cost their rank in a
+dictionary that is learnt from the documents.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from math import log10
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -44,6 +45,9 @@ STEMS = ("pass", "pwd", "secret", "token", "credential", "key", "bearer", "auth"
 
 # A value is reported from this many guesses on, as a decimal logarithm.
 LEAST_GUESSES = 10.0
+# Words of the learnt dictionary at most, and their letters.
+WORDS = 20_000
+LETTERS = (3, 24)
 # Common parts of chosen passwords and placeholders; the cost is the place in the list.
 COMMON = (
     "password passwd secret token admin root user login guest test default example sample changeme "
@@ -54,8 +58,10 @@ COMMON = (
     "july august september october november december"
 ).split()
 RANK = {word: place for place, word in enumerate(COMMON, 1)}
-LONGEST_WORD = max(map(len, COMMON))
 LEET = str.maketrans("@4310$5!7", "aaeiossit")
+# A quoted value of so many words and more, with nothing but letters between its blanks and stops, is prose.
+PROSE_WORDS = 4
+PROSE = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*[.,;:!?…]*")
 # Any other run of letters that reads like a word counts as one of so many words, and each letter beyond
 # the usual length as so many times more.
 ANY_WORD = 5.0
@@ -103,15 +109,15 @@ def _wordlike(word: str) -> bool:
     return 0.2 <= vowels / len(low) <= 0.8 and not re.search(r"[bcdfghjklmnpqrstvwxzß]{6}", low)
 
 
-def _parts(value: str) -> list[list[tuple[int, float]]]:
+def _parts(value: str, ranks: dict[str, int]) -> list[list[tuple[int, float]]]:
     """For each start, the ends of the parts that can begin there, with their costs."""
     n, low = len(value), value.lower()
     plain = low.translate(LEET)
     out: list[list[tuple[int, float]]] = [[(i + 1, _letters(value[i]))] for i in range(n)]
     for text, extra in ((low, 0.0), (plain, log10(2))):
         for i in range(n):
-            for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
-                if rank := RANK.get(text[i:j]):
+            for j in range(i + LETTERS[0], min(n, i + LETTERS[1]) + 1):
+                if rank := ranks.get(text[i:j]):
                     out[i].append((j, log10(1 + rank) + extra + (low[i:j] != value[i:j]) * log10(2)))
     out_words = ((m.start(), m.end()) for m in WORDLIKE.finditer(value) if _wordlike(m.group()))
     for i, j in out_words:
@@ -130,20 +136,30 @@ def _parts(value: str) -> list[list[tuple[int, float]]]:
     return out
 
 
-def log10_guesses(value: str) -> float:
-    """The least cost of any segmentation of `value`; time grows with its length."""
-    best = [0.0] + [float("inf")] * len(value)
-    single = [True] + [False] * len(value)
-    for i, parts in enumerate(_parts(value)):
+def log10_guesses(value: str, ranks: dict[str, int] = RANK) -> float:
+    """The least cost of any segmentation of `value`; time grows with its length.
+
+    For each position the least cost is kept twice: of segmentations that end in a brute-force
+    character, whose run goes on for nothing, and of others.
+    """
+    never = float("inf")
+    run, other = [0.0] + [never] * len(value), [0.0] + [never] * len(value)
+    for i, parts in enumerate(_parts(value, ranks)):
+        begun = 0.0 if i == 0 else min(run[i], other[i]) + PART
         for j, cost in parts:
-            brute = j == i + 1
-            total = best[i] + cost + (0.0 if i == 0 or (brute and single[i]) else PART)
-            if total < best[j]:
-                best[j], single[j] = total, brute
-    return best[-1]
+            if j == i + 1:
+                run[j] = min(run[j], min(run[i], begun) + cost)
+            else:
+                other[j] = min(other[j], begun + cost)
+    return min(run[-1], other[-1])
+
+
+def _prose(value: str) -> bool:
+    words = value.split()
+    return len(words) >= PROSE_WORDS and all(PROSE.fullmatch(w) for w in words)
 
 
-def scan(text: str | None) -> list[Finding]:
+def scan(text: str | None, ranks: dict[str, int] = RANK) -> list[Finding]:
     """All findings in order of start, then kind."""
     if not text:
         return []
@@ -151,7 +167,7 @@ def scan(text: str | None) -> list[Finding]:
     low = text.lower()
     context = any(stem in low for stem in STEMS)
     if context or "api" in low:
-        found += [Finding("assign", *m.span(), None) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST]
+        found += [Finding("assign", *m.span(), log10_guesses(m.group(2), ranks)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST]
     if "AKIA" in text:
         found += [Finding("access", *m.span(), None) for m in ACCESS.finditer(text)]
     found += [Finding("hex", *m.span(), None) for m in HEX.finditer(text)]
@@ -159,9 +175,9 @@ def scan(text: str | None) -> list[Finding]:
         base = [(f.start, f.end) for f in found]
         for m in CONTEXT.finditer(text):
             start, end = m.span(m.lastindex)
-            if any(a < end and start < b for a, b in base):
+            if any(a < end and start < b for a, b in base) or _prose(text[start:end]):
                 continue
-            if (cost := log10_guesses(text[start:end])) >= LEAST_GUESSES:
+            if (cost := log10_guesses(text[start:end], ranks)) >= LEAST_GUESSES:
                 found.append(Finding("guess", start, end, cost))
     return sorted(found, key=lambda f: (f.start, KINDS.index(f.kind), f.end))
 
@@ -169,19 +185,38 @@ def scan(text: str | None) -> list[Finding]:
 FINDINGS = "array<struct<kind:string,start:int,end:int,log10_guesses:double>>"
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", out: str = "findings") -> DataFrame:
+def learn_words(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> dict[str, int]:
+    """Ranks from 1 of the most frequent words of all texts, at most `words`, ties in order of the words.
+
+    Words are runs of LETTERS lower-cased letters. COMMON parts of passwords keep their places where
+    these are better. What reaches the driver, and later the tasks, are the words of this list.
+    """
+    said = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(r"\p{L}+"), 0)).alias("word"))
+    counted = said.filter(F.length("word").between(*LETTERS)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # First among a part of the words, so that no task orders all of them.
+    part = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(64))).orderBy(F.desc("n"), "word")
+    first = counted.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= words)
+    ranks = {row["word"]: place for place, row in enumerate(first.orderBy(F.desc("n"), "word").limit(words).collect(), 1)}
+    return ranks | {word: min(place, ranks.get(word, place)) for word, place in RANK.items()}
+
+
+def scan_secrets(docs: DataFrame, text_col: str = "text", out: str = "findings", ranks: dict[str, int] | None = None) -> DataFrame:
     """`docs` with the findings of each whole text in `out`, replacing a column of that name.
 
     Positions are code points, ends exclusive. Kinds assign, access and hex are all matches of
     the fixed patterns that are long enough; guess is a value after a credential's name that
-    takes at least 10**LEAST_GUESSES guesses and overlaps no match of the other kinds. Null and
-    empty texts have no findings. One pass over the rows, no shuffle.
+    takes at least 10**LEAST_GUESSES guesses, overlaps no match of the other kinds, and is no prose.
+    log10_guesses says how hard the value is to guess, for assign and guess. Ties of start are in
+    order of the kinds; repeated rows each have their findings. Null and empty texts have none.
+    `ranks` is a dictionary (`learn_words`), by default that of COMMON. One pass over the rows, no
+    shuffle.
     """
+    known = RANK if ranks is None else ranks
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("log10_guesses", pa.float64())]))
 
     @arrow_udf(FINDINGS)
     def findings(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([[f._asdict() for f in scan(row.as_py())] for row in batch], kinds)
+            yield pa.array([[f._asdict() for f in scan(row.as_py(), known)] for row in batch], kinds)
 
     return docs.withColumn(out, findings(F.col(text_col)))
