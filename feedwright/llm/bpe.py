@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from feedwright.llm.common import slices
+from feedwright.llm.common import others, slices, unused
 
 # Distinct words remembered by a task.
 WORDS_KEPT = 300_000
@@ -35,11 +35,28 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+def _check_shape(spec: dict) -> None:
+    """Refuses a file that asks for what `WordBpe` does not do, so that no ids are wrong unsaid."""
+    model, split = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
+    asked = {
+        "model": model["type"] == "BPE" and bool(model["end_of_word_suffix"]) and bool(model["merges"]),
+        "options of the model": not any(model.get(o) for o in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")),
+        "normalizer": [n["type"] for n in spec["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"],
+        "pre-tokenizer": [p["type"] for p in split] == ["Split", "ByteLevel"] and split[0]["invert"] and split[0]["behavior"] == "Removed",
+        "blank before a text": not split[-1].get("add_prefix_space"),
+        "decoder": spec["decoder"] is None,
+        "special tokens": not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]),
+    }
+    if wrong := [part for part, fits in asked.items() if not fits]:
+        raise ValueError(f"not a tokenizer file of word-end BPE: {', '.join(wrong)}")
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizer file with normaliser NFC, blanks, lower case; no decoder."""
 
     def __init__(self, definition: str) -> None:
         spec = json.loads(definition)
+        _check_shape(spec)
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         end = model["end_of_word_suffix"]
@@ -135,8 +152,9 @@ class WordBpe:
             numbers.setdefault(word, len(numbers))
         merged = self.merge(list(numbers))
         # A special token is a word of one id, after the others.
-        order = [numbers[p] if isinstance(p, bytes) else len(merged) + p - self.base for part in pieces for p in part]
-        merged += [np.array([i]) for i in range(self.base, 1 + max(self.tokens))]
+        after = {i: len(merged) + n for n, i in enumerate(dict.fromkeys(self.special.values()))}
+        order = [numbers[p] if isinstance(p, bytes) else after[p] for part in pieces for p in part]
+        merged += [np.array([i]) for i in after]
         lengths = np.fromiter(map(len, merged), np.int64, len(merged))
         flat = np.concatenate(merged) if merged else np.empty(0, np.int64)
         taken = np.array(order, np.int64)
@@ -242,6 +260,6 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, text_col: str = "text") -
                 texts = pa.array([bpe.decode(ids.tolist()) for ids in found], pa.string())
                 yield pa.StructArray.from_arrays([_ids(found), texts], fields=list(kind))
 
-    coded = docs.withColumn("_coded", both(F.col(text_col)))
-    columns = [c for c in docs.columns if c not in ("ids", "decoded")]
-    return coded.select(*columns, "_coded.ids", "_coded.decoded")
+    coded = unused(docs, "_coded")
+    found = docs.withColumn(coded, both(F.col(text_col)))
+    return found.select(*others(docs.columns, ["ids", "decoded"]), f"{coded}.ids", f"{coded}.decoded")

@@ -39,6 +39,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def others(columns: list[str], results: list[str]) -> list[str]:
+    """The columns that results of these names leave standing; Spark tells no case apart."""
+    return [c for c in columns if c.lower() not in results]
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A name that no column of `docs` has, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
     """Join many rows with `groups`, unique by `keys`, though some keys may have very many rows.
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import HEAVY, ascii_lower, join_groups, stored
+from feedwright.llm.common import HEAVY, ascii_lower, join_groups, others, stored
 
 # Bytes by which the first round splits; each further round takes GROWTH times more.
 FIRST = 64
@@ -62,7 +62,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts end. The rounds are as many as the logarithm of the longest text.
     """
     results = ["keep_id", "group_size", "kept"]
-    columns = [c for c in docs.columns if c not in results]
+    columns = others(docs.columns, results)
     text = F.coalesce(F.col(text_col), F.lit(""))
     first = F.substring(ascii_lower(F.substring(text, 1, FIRST)).cast("binary"), 1, FIRST)
     inner = docs.select(

@@ -230,8 +230,8 @@ def extract_main(pages: DataFrame, weights: dict[str, float], html_col: str = "h
     """`pages` with the main text of the whole html in `out`, replacing a column of that name.
 
     Blocks are joined by a line break, white space within one is a single blank, character
-    references are decoded. Null, empty and text-free pages give the empty text. One pass, no
-    shuffle; `weights` are as few as the features of the sample they were learnt from.
+    references are decoded. Null, empty and text-free pages give the empty text; repeated rows each
+    have theirs. One pass, no shuffle; `weights` are as few as the features of the sample they were learnt from.
     """
 
     @arrow_udf("string")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedwright.llm.common import join_groups, stored, word_count
+from feedwright.llm.common import join_groups, others, stored, word_count
 
 # Weights of the sources by code point, repeating; what part of all sizes they share, and the
 # most that a source can give as a multiple of its size.
@@ -119,7 +119,7 @@ def _round(step: int, width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The flight of one block; with at most `width` first blocks a source has one left, and lands."""
 
     def decide(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["place", "size"], kind="stable")
+        block = block.sort_values(["place", "size", "tie"], kind="stable")
         first = block.iloc[0]
         rng = np.random.default_rng([SEED, step, int(first["key_hash"]) & 0xFFFFFFFF, int(first["block"])])
         sizes, chances = block["size"].to_numpy(float), block["chance"].to_numpy(float)
@@ -129,12 +129,13 @@ def _round(step: int, width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return decide
 
 
-def plan_mix(docs: DataFrame, block: int = BLOCK, **targets) -> DataFrame:
+def plan_mix(docs: DataFrame, block: int = BLOCK, tie: str | None = None, **targets) -> DataFrame:
     """`docs` (doc_id, source, size and whatever else) with source_size, target, copies and taken.
 
     copies is how often the mix takes a document, taken the words that makes; no document is
     taken more than `most` times. The same rows give the same mix: blocks and order follow a
-    hash of doc_id, draws a fixed seed. A null source is one of its own, and the last; a null id
+    hash of doc_id, draws a fixed seed; rows of one id and size are told apart by the number in column
+    `tie`, if there is one. A null source is one of its own, and the last; a null id
     is spread by its place in the table. Null sizes count as 0. Sources of size 0 have target 0;
     an empty table has no rows. Result columns that `docs` already has are replaced.
 
@@ -142,9 +143,10 @@ def plan_mix(docs: DataFrame, block: int = BLOCK, **targets) -> DataFrame:
     the rounds are the logarithm of the number of blocks.
     """
     results = ["source_size", "target", "copies", "taken"]
-    whole_rows = F.struct(*(c for c in docs.columns if c not in results)).alias("row")
+    whole_rows = F.struct(*others(docs.columns, results)).alias("row")
     size = F.coalesce("size", F.lit(0)).cast("bigint").alias("size")
-    rows = docs.select(whole_rows, "doc_id", "source", size, F.monotonically_increasing_id().alias("rid"))
+    tied = (F.lit(0) if tie is None else F.col(tie)).cast("bigint").alias("tie")
+    rows = docs.select(whole_rows, "doc_id", "source", size, tied, F.monotonically_increasing_id().alias("rid"))
     rows = stored(rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))))
 
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
@@ -163,6 +165,7 @@ def plan_mix(docs: DataFrame, block: int = BLOCK, **targets) -> DataFrame:
         "blocks",
         F.xxhash64("key").alias("key_hash"),
         place.alias("place"),
+        "tie",
         F.pmod(F.shiftrightunsigned(place, 20), F.col("blocks")).alias("block"),
         F.floor(wanted).cast("int").alias("sure"),
         (wanted - F.floor(wanted)).alias("chance"),
@@ -186,11 +189,15 @@ def plan_mix(docs: DataFrame, block: int = BLOCK, **targets) -> DataFrame:
 def mix(docs: DataFrame, text_col: str = "text", **targets) -> DataFrame:
     """The documents of the mix: all columns of `docs`, each row as often as it is taken.
 
-    Sizes are words of the whole text; a document of no words goes like the others of its source.
+    Sizes are words of the whole text; a document of no words goes like the others of its source. Rows of one id
+    and size, but different otherwise, are told apart by a hash of all columns but maps.
     """
     rows = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("mix_row")))
-    sized = rows.select("doc.doc_id", "doc.source", word_count(F.col(f"doc.`{text_col}`")).alias("size"), "mix_row")
-    taken = plan_mix(sized, **targets).filter("copies > 0").select(F.col("mix_row").alias("taken_row"), "copies")
+    size = word_count(F.col(f"doc.`{text_col}`"))
+    # Maps have no hash.
+    told = [F.col(f"doc.`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    sized = rows.select("doc.doc_id", "doc.source", size.alias("size"), "mix_row", F.xxhash64(*told).alias("mix_tie"))
+    taken = plan_mix(sized, tie="mix_tie", **targets).filter("copies > 0").select(F.col("mix_row").alias("taken_row"), "copies")
     times = rows.join(taken.hint("merge"), F.col("mix_row") == F.col("taken_row"))
     repeated = times.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     return repeated.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))

@@ -148,9 +148,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN)
 
     # Broadcast: at most max_train rows of two numbers.
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    # Repeated ids give one row each up to the same bound.
-    first = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_train)
-    rows = first.select("quality", counted("text").alias("found")).select("quality", "found.*").collect()
+    found = picked.select("doc_id", "quality", F.xxhash64("text").alias("tie"), counted("text").alias("found"))
+    # Repeated ids give one row each up to the same bound. What is put in order are features, at most BUCKETS
+    # numbers a document however long its text.
+    first = found.orderBy(F.xxhash64("doc_id"), "doc_id", "tie", "found").limit(max_train)
+    rows = first.select("quality", "found.*").collect()
     return train([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.float32), int(r["quality"] >= 1)) for r in rows])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from feedwright.llm.common import join_groups, stored
+from feedwright.llm.common import join_groups, others, stored
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -285,7 +285,7 @@ def near_duplicates(
     replaced. Copies meet as one fingerprint before anything is compared.
     """
     results = ["fingerprint", "component_id", "kept"]
-    columns = [c for c in keep or docs.columns if c not in results]
+    columns = others(keep or docs.columns, results)
     source = docs.select(F.struct(*columns).alias("doc"), "doc_id", F.col(text_col).alias("_text"))
     rows = fingerprints(source, "_text", "fp", shingle)
     rows = stored(rows.drop("_text").withColumn("rid", F.monotonically_increasing_id()))

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedwright.llm import mixing, permutation_index
+from feedwright.llm import mixing, permutation_index, simhash
 from feedwright.llm.common import read, word_count
+from feedwright.llm.exact_dedup import exact_dedup
 from feedwright.llm.queries import QUERIES
 
 
@@ -138,6 +139,29 @@ def test_mix_of_awkward_rows(awkward, no_docs):
     assert mixing.mix(no_docs).collect() == []
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    """Copies of an id, equal in size and different in text: reruns over other files take the same."""
+    rows = [(i % 5, f"{'abcdefghij'[i % 10]}{i} two three", "ab"[i % 2], {"k": "v"}) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,string>")
+    one, other = (sorted(r.text for r in mixing.mix(d).collect()) for d in (docs.repartition(2), docs.orderBy(F.desc("text"))))
+    assert one == other and len(set(one)) < 400
+
+
+def test_results_replace_columns_in_other_letters(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "x", "x"), (2, "A b", "s", "x", "x")], "doc_id long, text string, source string, Kept string, Target string")
+    assert exact_dedup(docs).columns == ["doc_id", "text", "source", "Target", "keep_id", "group_size", "kept"]
+    assert simhash.near_duplicates(docs).columns == ["doc_id", "text", "source", "Target", "fingerprint", "component_id", "kept"]
+    sized = docs.withColumn("size", word_count(F.col("text")))
+    assert mixing.plan_mix(sized).columns == ["doc_id", "text", "source", "Kept", "size", "source_size", "target", "copies", "taken"]
+    assert exact_dedup(docs).filter("kept").count() == simhash.near_duplicates(docs).filter("kept").count() == 1
+
+
+def test_quality_stage_keeps_a_column_of_its_own_score(spark, sf):
+    docs = read(spark, sf, "documents").limit(50).withColumn("_SCORE", F.lit("mine"))
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, sf)
+    assert kept.columns == docs.columns and {r._SCORE for r in kept.collect()} == {"mine"}
+
+
 def test_pipeline_stages_keep_columns_and_awkward_rows(spark, awkward, no_docs, sf):
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     for docs in (awkward.select(*columns), no_docs.select(*columns)):

@@ -1,6 +1,7 @@
 """Classifier, byte-pair encoding, secret scan, pages and chat."""
 
 import hashlib
+import json
 import random
 import re
 import time
@@ -50,6 +51,43 @@ def test_bpe_query(spark, sf, library):
         assert rows[i].decoded_sha256 == hashlib.sha256(library.decode(want.ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_special_tokens_may_stand_in_the_vocabulary(library):
+    """As some files list them; the ids stay those of the library."""
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    spec["model"]["vocab"] |= {t["content"]: t["id"] for t in spec["added_tokens"]}
+    text = "a<|endoftext|>b <|startoftext|>c"
+    [found] = bpe.WordBpe(json.dumps(spec)).encode([text])
+    assert found.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(
+    ("part", "change"),
+    [
+        ("decoder", lambda s: s.update(decoder={"type": "ByteLevel"})),
+        ("normalizer", lambda s: s["normalizer"]["normalizers"].pop()),
+        ("pre-tokenizer", lambda s: s["pre_tokenizer"]["pretokenizers"][0].update(invert=False)),
+        ("options of the model", lambda s: s["model"].update(byte_fallback=True)),
+        ("special tokens", lambda s: s["added_tokens"][0].update(lstrip=True)),
+    ],
+)
+def test_other_kinds_of_tokenizer_files_are_refused(part, change):
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    change(spec)
+    with pytest.raises(ValueError, match=part):
+        bpe.WordBpe(json.dumps(spec))
+
+
+def test_encoding_and_decoding_keep_other_columns(awkward, library):
+    """Also one with the name of the column both come in, and in other letters than the results'."""
+    docs = awkward.drop("ids").withColumns({"_coded": F.lit("mine"), "_Coded_": F.lit("too"), "IDS": F.lit("old"), "Decoded": F.lit("old")})
+    found = bpe.encode_and_decode(docs, PATH)
+    assert found.columns == [c for c in docs.columns if c not in ("IDS", "Decoded")] + ["ids", "decoded"]
+    for row in found.collect():
+        want = library.encode(row.text or "", add_special_tokens=False).ids
+        assert (row._coded, row._Coded_, row.ids) == ("mine", "too", want)
+        assert row.decoded == library.decode(want, skip_special_tokens=False)
+
+
 def test_bpe_of_nothing(no_docs):
     assert bpe.decode(bpe.encode(no_docs, PATH), PATH).collect() == []
 
@@ -83,6 +121,77 @@ def test_quality_of_awkward_rows(spark, awkward, no_docs):
     assert quality.score_quality(no_docs, quality.fit_quality(no_docs, some)).collect() == []
 
 
+def test_training_is_descent_along_the_gradient(monkeypatch):
+    """Every step against plain Python, whose gradient is taken by finite differences of the summed loss."""
+    monkeypatch.setattr(quality, "EPOCHS", 3)
+    monkeypatch.setattr(quality, "BUCKETS", 12)
+    monkeypatch.setattr(quality, "BATCH", 4)
+    make, dim = random.Random(6), quality.DIM
+    docs = []
+    for label in (1, 0, 1, 1, 0, 0, 1, 0, 1):
+        at = sorted(make.sample(range(12), make.randint(1, 5)))
+        docs.append((np.array(at), np.array([float(make.randint(1, 4)) for _ in at]), label))
+    docs.append((np.empty(0, np.int64), np.empty(0), 1))  # an empty text
+
+    rng = np.random.default_rng(quality.SEED)
+    vectors = rng.uniform(-1 / dim, 1 / dim, (12, dim)).ravel().tolist()
+    output = [0.0] * (2 * dim)
+    ones = sum(label for *_, label in docs)
+    bias = [float(np.log((n + 1) / (len(docs) + 2))) for n in (len(docs) - ones, ones)]
+
+    def loss(values, batch):
+        v, o, b = values[: 12 * dim], values[12 * dim : 14 * dim], values[14 * dim :]
+        total = 0.0
+        for at, times, label in batch:
+            whole = max(sum(times), 1)
+            mean = [sum(n / whole * v[i * dim + d] for i, n in zip(at, times)) for d in range(dim)]
+            logits = [b[c] + sum(mean[d] * o[2 * d + c] for d in range(dim)) for c in (0, 1)]
+            total += float(np.logaddexp(*logits)) - logits[label]
+        return total
+
+    step = 1e-5
+    for epoch in range(3):
+        rate = quality.RATE * (1 - epoch / 3)
+        order = rng.permutation(len(docs)).tolist()
+        for start in range(0, len(order), 4):
+            batch = [docs[i] for i in order[start : start + 4]]
+            values = vectors + output + bias
+            slope = []
+            for i in range(len(values)):
+                up, down = ([*values[:i], values[i] + move, *values[i + 1 :]] for move in (step, -step))
+                slope.append((loss(up, batch) - loss(down, batch)) / (2 * step))
+            factor = [50.0] * (12 * dim) + [1.0] * (2 * dim) + [1 / len(batch)] * 2
+            moved = [x - rate * f * s for x, f, s in zip(values, factor, slope)]
+            vectors, output, bias = moved[: 12 * dim], moved[12 * dim : 14 * dim], moved[14 * dim :]
+
+    model = quality.train(docs)
+    lean = [output[2 * d + 1] - output[2 * d] for d in range(dim)]
+    weight = [sum(vectors[i * dim + d] * lean[d] for d in range(dim)) for i in range(12)]
+    assert model.weight == pytest.approx(weight, rel=1e-3, abs=1e-5)
+    assert model.bias == pytest.approx(bias[1] - bias[0], rel=1e-3)
+    assert max(map(abs, weight)) > 0.1
+
+
+def test_scores_are_those_of_the_plain_average(spark, sf):
+    """A document's logit from its own features, one after another, and not from words known before."""
+    docs = read(spark, sf, "documents")
+    model = quality.fit_quality(docs, read(spark, sf, "labels"), 200)
+    for row in quality.score_quality(docs.orderBy("doc_id").limit(200), model).collect():
+        at, times = quality.features(row.text)
+        whole = sum(times.tolist())
+        logit = model.bias + (sum(float(model.weight[i]) * n for i, n in zip(at.tolist(), times.tolist())) / whole if whole else 0.0)
+        assert row.score == pytest.approx(1 / (1 + np.exp(-logit)), rel=1e-6)
+
+
+def test_repeated_ids_stay_within_the_bound_of_training(spark):
+    """Copies of a labelled id give features up to the bound, whatever their order in the table."""
+    rows = [(i % 7, f"text {i} of {i % 7} " * (i % 5)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    one, other = quality.fit_quality(docs, labels, 20), quality.fit_quality(docs.repartition(5, "text"), labels, 20)
+    assert np.array_equal(one.weight, other.weight) and one.bias == other.bias
+
+
 def slow_base(text):
     """The base spans, searched with the patterns as they are stated."""
     kinds = (
