@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -165,9 +166,9 @@ def suffix_result(df):
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeated(df).collect()), key=str)
 
 
-@pytest.mark.parametrize(("chunk", "hot"), [(1 << 22, 20_000), (3000, 20_000), (2000, 2)])
-def test_suffix_dedup_of_shared_passages(spark, monkeypatch, chunk, hot):
-    for name, value in (("CHUNK_BYTES", chunk), ("HOT", hot), ("BUCKET_BYTES", 20_000)):
+@pytest.mark.parametrize(("chunk", "hot", "crowd"), [(1 << 22, 20_000, 256), (3000, 20_000, 256), (2000, 2, 256), (2000, 20_000, 1), (1 << 22, 2, 2)])
+def test_suffix_dedup_of_shared_passages(spark, monkeypatch, chunk, hot, crowd):
+    for name, value in (("CHUNK_BYTES", chunk), ("HOT", hot), ("CROWD", crowd), ("BUCKET_BYTES", 20_000)):
         monkeypatch.setattr(suffix_dedup, name, value)
     rng = random.Random(5)
     passages = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(40, 200))) for _ in range(12)]
@@ -202,6 +203,41 @@ def test_one_phrase_in_many_contexts(spark, n):
     assert suffix_result(df) == slow_suffix(rows)
 
 
+def test_a_chunk_sends_one_row_of_a_hot_anchor_and_of_a_hot_string():
+    """400 documents of one chunk with a phrase between a constant start and ends of their own."""
+    rng = random.Random(8)
+    same = "qzwvxkyjuhgfdspoiretnmbalc"
+    texts = [(same + PHRASE + "".join(rng.choices("abcdefghij", k=26))).encode() for _ in range(400)]
+    data = b"".join(texts)
+    ids, lengths = np.arange(400), np.full(400, 76)
+    row = {"chunk": 7, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "bytes": len(data), "data": pa.compress(data, "zstd", asbytes=True)}
+    chunks = pa.Table.from_pylist([row])
+    announced = pa.Table.from_batches(suffix_dedup.announce(1)(chunks.to_batches()))
+    assert [len(a) // 4 for a in announced["anchors"].to_pylist()] == [1]
+    shared = suffix_dedup.send(1)(chunks, suffix_dedup.tell(announced))
+    (names,), (again,) = ([np.frombuffer(x, k) for x in shared[c].to_pylist()] for c, k in (("names", np.uint64), ("again", bool)))
+    strings = [t[p : p + 50] for t in texts for p in range(27)]
+    assert len(names) == len(set(names.tolist())) == len(set(strings))
+    assert again.sum() == sum(strings.count(x) > 1 for x in set(strings))
+    answers = suffix_dedup.match(shared)
+    chunk = suffix_dedup._row(row, 1)
+    place, least = chunk.spread(*(np.frombuffer(answers[c][0].as_py(), np.int64) for c in ("places", "docs")))
+    first = {x: strings.index(x) // 27 for x in set(strings)}
+    told = {(int(chunk.doc[chunk.first[p // 64]]), int(p % 64)): int(d) for p, d in zip(place, least)}
+    assert told == {(i // 27, i % 27): first[x] for i, x in enumerate(strings) if strings.count(x) > 1}
+
+
+def test_strings_are_hashed_alike_wherever_they_stand():
+    data = np.random.default_rng(4).integers(0, 256, 3 * suffix_dedup.STRETCH + 60).astype(np.uint8)
+    data[suffix_dedup.STRETCH - 20 :][:50] = data[100:150]
+    data[3 * suffix_dedup.STRETCH + 10 :] = data[100:150]
+    start = np.array([3 * suffix_dedup.STRETCH + 10, 100, suffix_dedup.STRETCH - 20, 101])
+    for base in (suffix_dedup.NAME_BASE, suffix_dedup.CHECK_BASE):
+        a, b, c, other = suffix_dedup.string_hashes(data, start, base)
+        assert a == b == c != other
+    assert len(suffix_dedup.string_hashes(data, start[:0], base)) == 0
+
+
 def test_spans_whose_names_agree_in_32_bits(spark):
     one = "xlewlukfhkszzwzgdohjmnvjxr" + PHRASE + "epymxvqyyoxucngarbyhkdexma"
     other = "rzmsbdpbmubgzufatzkswhscyg" + PHRASE + "cfwemwzihtycwpetddzkzvgcrl"
