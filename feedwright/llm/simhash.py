@@ -32,6 +32,10 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 GENERATOR = 0b101011100011
 # Fingerprints of one key that are compared in one task; more are dealt out in pairs of cells.
 CELL = 4096
+# Keys of a fingerprint at most: six codewords of each segment of a pair.
+KEYS = 36 * len(PAIRS)
+# Keys that a task compares, about.
+TASK_KEYS = 2_000_000
 # So many keys of more than a cell are broadcast at most.
 HOT_KEYS = 100_000
 
@@ -218,7 +222,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     hot = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL))
     cells = F.ceil(F.col("n") / CELL).cast("int")
     # Few keys are hot: each has over CELL fingerprints.
-    listed = hot.hint("merge") if hot.count() > HOT_KEYS else F.broadcast(hot)
+    hot_keys, again = hot.agg(F.count(F.lit(1)), F.sum(F.col("n") * (cells - 1))).first()
+    listed = hot.hint("merge") if hot_keys > HOT_KEYS else F.broadcast(hot)
     spread = keys.join(listed, "key", "left").withColumn("cells", F.coalesce(cells, F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("cells")).cast("int")
     # A fingerprint of cell c meets every cell d, in the task of (c, d) or (d, c).
@@ -235,30 +240,37 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             a, b = _links(key, fp.view(np.uint64), at, max_bits)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    return dealt.repartition("cell").mapInArrow(linked, "a bigint, b bigint").distinct()
+    # As many tasks as the session says, or as the keys need.
+    width = -(-(fps.count() * KEYS + (again or 0)) // TASK_KEYS)
+    usual = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition("cell") if width <= usual else dealt.repartition(width, "cell")
+    return dealt.mapInArrow(linked, "a bigint, b bigint").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """node and root, the least node it can reach, for the nodes of the links (a, b).
 
     Links are turned towards the least neighbour, first of the larger nodes and then of the
-    smaller, until nothing changes; each round halves the longest way, and is stored.
+    smaller, until nothing changes; each round halves the longest way, and is stored. A node with
+    many links is told its least neighbour where its links are, so they do not meet in one task.
     """
 
     def star(pairs: DataFrame, all_neighbours: bool) -> DataFrame:
         both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))) if all_neighbours else pairs
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
-        joined = both.join(least.hint("merge"), F.col("a") == F.col("k"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("links"))
+        least = stored(least.withColumn("m", F.least("a", "m")))
+        joined = join_groups(both.withColumn("rid", F.col("b")), least, ["a"], "links")
         if all_neighbours:
             # Larger neighbours, and the node itself, are linked to the least.
             return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        # The node itself, once.
         moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return moved.unionAll(joined.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
+        return moved.unionAll(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
     pairs = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     state = None
     while True:
-        large = star(pairs, True)
+        large = stored(star(pairs, True))
         pairs = stored(star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False))
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:

@@ -121,8 +121,10 @@ def test_fingerprints_within_four_bits_share_a_key():
     assert {place for place, _ in pairs[0] & pairs[1]} == set(range(len(one)))
 
 
-def test_hot_keys_are_compared_in_cells(spark, monkeypatch):
-    """Many prints around one centre share keys; dealt into cells they give the same components."""
+@pytest.mark.parametrize("task_keys", [simhash.TASK_KEYS, 5000])
+def test_hot_keys_are_compared_in_cells(spark, monkeypatch, task_keys):
+    """Many prints around one centre share keys; dealt into cells, and those into more tasks, they give the same components."""
+    monkeypatch.setattr(simhash, "TASK_KEYS", task_keys)
     rng = np.random.default_rng(5)
     centre = 0x123456789ABCDEF0
     near = {centre ^ sum(1 << int(b) for b in rng.choice(64, 3, replace=False)) for _ in range(400)}
@@ -141,6 +143,30 @@ def test_hot_keys_are_compared_in_cells(spark, monkeypatch):
     assert links.count() < 3 * 3 * len(prints) * 10  # spanning links, not all pairs
 
 
+def test_components_of_a_star_and_chains(spark):
+    """A centre with a third of all links, which is not the least of its nodes, chains, and a node linked to itself."""
+    rng = random.Random(2)
+    links = [(5000, i) for i in range(4000, 7000) if i != 5000]
+    links += [(i, i + 1) for i in range(100, 130)] + [(-i, -i - 3) for i in range(1, 60)] + [(8000, 8000)]
+    links += [(20_000 + rng.randrange(4000), 20_000 + rng.randrange(4000)) for _ in range(3000)]
+    root = {n: n for pair in links for n in pair}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    rng.shuffle(links)
+    df = spark.createDataFrame([rng.choice([(a, b), (b, a)]) for a, b in links], "a long, b long").repartition(5)
+    found = simhash.components(df).collect()
+    expected = {n: find(n) for pair in links if pair[0] != pair[1] for n in pair}
+    assert {r.node: r.root for r in found} == expected and len(found) == len(expected)
+
+
 def slow_suffix(rows):
     first = {}
     texts = [(i, (t or "").encode()) for i, t in rows]
