@@ -1,20 +1,21 @@
 """Byte-pair encoding with word ends, and decoding, by batched numpy merge rounds.
 
-The symbols of all new words of a batch lie in one flat array. Each round finds the ranks of all
-neighbouring pairs by binary search over the sorted pair keys, and merges in every word the pair
-of its lowest rank; words without a known pair leave the array.
+The symbols of all new words of a batch lie in one flat array, with the ranks of all neighbouring
+pairs, found by binary search over the sorted pair keys. Each round merges in every word the pair
+of its lowest rank and finds the ranks beside it anew; words without a known pair leave the array.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
@@ -23,9 +24,9 @@ from pyspark.sql.functions import arrow_udf
 
 from feedwright.llm.common import others, slices, unused
 
-# Distinct words remembered by a task.
+# Distinct words remembered by a task, and distinct runs of them between white space.
 WORDS_KEPT = 300_000
-NO_RANK = np.iinfo(np.int64).max
+NO_RANK = np.iinfo(np.int32).max
 
 
 def byte_symbols() -> list[str]:
@@ -51,6 +52,27 @@ def _check_shape(spec: dict) -> None:
         raise ValueError(f"not a tokenizer file of word-end BPE: {', '.join(wrong)}")
 
 
+class Known:
+    """Lists of ids in one array, one after another, and the number of each by its key."""
+
+    def __init__(self) -> None:
+        self.number: dict[str | int, int] = {}
+        self.ids = np.empty(0, np.int32)
+        # Where each list starts, and the end.
+        self.starts = np.zeros(1, np.int64)
+
+    def add(self, keys: Iterable[str | int], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.ids = np.append(self.ids, ids.astype(np.int32))
+        self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(lengths))
+        self.number.update(zip(keys, count(len(self.number))))
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of these numbers one after another, and their lengths."""
+        starts = self.starts[numbers]
+        lengths = self.starts[numbers + 1] - starts
+        return gather(self.ids, starts, lengths), lengths
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizer file with normaliser NFC, blanks, lower case; no decoder."""
 
@@ -66,124 +88,142 @@ class WordBpe:
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.word_pattern = regex.compile(split)
         symbols = byte_symbols()
-        self.inner = np.array([vocab[s] for s in symbols])
-        self.final = np.array([vocab[s + end] for s in symbols])
+        self.inner = np.array([vocab[s] for s in symbols], np.int32)
+        self.final = np.array([vocab[s + end] for s in symbols], np.int32)
         self.base = 1 + max(vocab.values())
-        pairs = [(vocab[a] * self.base + vocab[b], rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])]
-        table = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 3)
-        self.keys, self.ranks, self.merged = table.T.copy()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        # Ids of all known chunks one after another; where each chunk starts, and the end.
-        self.pool = np.empty(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each non-empty word."""
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
+        pairs = [(vocab[a] * self.base + vocab[b], rank) for rank, (a, b) in enumerate(model["merges"])]
+        self.keys, ranks = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2).T.copy()
+        self.ranks = ranks.astype(np.int32)
+        self.merged = np.array([vocab[a + b] for a, b in model["merges"]], np.int32)
+        self.chunks = Known()
+        self._forget_words()
+
+    def _forget_words(self) -> None:
+        # A special token is a word of one id.
+        special = list(dict.fromkeys(self.special.values()))
+        self.words = Known()
+        self.words.add(special, np.array(special, np.int64), np.ones(len(special), np.int64))
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols, NO_RANK where they do not merge."""
+        key = left * np.int64(self.base) + right
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.ranks[place], np.int32(NO_RANK))
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the non-empty words one after another, and how many each has.
+
+        Ranks are looked up once; a round looks up those of the pairs beside what it merged.
+        """
         if not words:
-            return out
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         raw = np.frombuffer(b"".join(words), np.uint8)
         symbol = self.inner[raw]
         last = np.cumsum(lengths) - 1
         symbol[last] = self.final[raw[last]]
+        # Of each symbol with the next one of its word.
+        rank = np.append(self._rank(symbol[:-1], symbol[1:]), np.int32(NO_RANK))
+        rank[last] = NO_RANK
         names = np.arange(len(words))
+        ended: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(names):
-            starts = np.cumsum(lengths) - lengths
-            inside = np.ones(len(symbol), bool)
-            inside[starts + lengths - 1] = False
-            rank = np.full(len(symbol), NO_RANK)
-            at = np.flatnonzero(inside)
-            key = symbol[at] * self.base + symbol[at + 1]
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[place] == key
-            at, place = at[hit], place[hit]
-            rank[at] = self.ranks[place]
-            lowest = np.minimum.reduceat(rank, starts)
+            lowest = np.minimum.reduceat(rank, last + 1 - lengths)
             done = lowest == NO_RANK
-            for i in np.flatnonzero(done):
-                out[names[i]] = symbol[starts[i] : starts[i] + lengths[i]].copy()
-            owner = np.repeat(np.arange(len(names)), lengths)
-            chosen = rank[at] == lowest[owner[at]]
-            at, place = at[chosen], place[chosen]
+            if done.any():
+                inside = np.repeat(done, lengths)
+                ended.append((names[done], lengths[done], symbol[inside]))
+                symbol, rank = symbol[~inside], rank[~inside]
+                names, lengths, lowest = names[~done], lengths[~done], lowest[~done]
+                if not len(names):
+                    break
+            at = np.flatnonzero(rank == np.repeat(lowest, lengths))
             # Of overlapping pairs (a run of one symbol) the first, third, ... are merged.
             begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)
             offset = np.arange(len(at)) - np.repeat(begins, np.diff(begins, append=len(at)))
-            at, place = at[offset % 2 == 0], place[offset % 2 == 0]
-            symbol[at] = self.merged[place]
-            stays = ~done[owner]
+            at = at[offset % 2 == 0]
+            symbol[at] = self.merged[rank[at]]
+            stays = np.ones(len(symbol), bool)
             stays[at + 1] = False
-            lengths = np.bincount(owner[stays], minlength=len(names))[~done]
-            symbol, names = symbol[stays], names[~done]
-        return out
-
-    def _pieces(self, chunk: str) -> list[bytes | int]:
-        """What a run of non-space characters consists of: words as bytes, special tokens as ids."""
-        low = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        # Most chunks are letters, with one mark at most.
-        if low.isalpha():
-            return [low.encode()]
-        if low[:-1].isalpha() and low[-1] in ",.;:!?":
-            return [low[:-1].encode(), low[-1].encode()]
-        if not self.special_pattern.search(chunk):
-            return [m.encode("utf-8", "replace") for m in self.word_pattern.findall(low)]
-        out: list[bytes | int] = []
+            lengths = np.add.reduceat(stays, np.cumsum(lengths) - lengths, dtype=np.int64)
+            symbol, rank = symbol[stays], rank[stays]
+            last = np.cumsum(lengths) - 1
+            at -= np.arange(len(at))
+            beside = np.concatenate([at, at[at > 0] - 1])
+            beside = beside[beside < len(symbol) - 1]
+            rank[beside] = self._rank(symbol[beside], symbol[beside + 1])
+            rank[last] = NO_RANK
+        order = np.argsort(np.concatenate([n for n, _, _ in ended]))
+        lengths = np.concatenate([n for _, n, _ in ended])
+        starts = np.cumsum(lengths) - lengths
+        return gather(np.concatenate([ids for _, _, ids in ended]), starts[order], lengths[order]), lengths[order]
+
+    def _pieces(self, chunk: str) -> list[str | int]:
+        """What a run of non-space characters with special tokens consists of: words in lower case, and ids."""
+        out: list[str | int] = []
         start = 0
         for found in chain(self.special_pattern.finditer(chunk), [None]):
-            text = chunk[start : found.start() if found else None]
-            # Capital sigma has one lower case here, whatever follows it.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            out.extend(m.encode("utf-8", "replace") for m in self.word_pattern.findall(text))
+            out.extend(self.word_pattern.findall(_lower(chunk[start : found.start() if found else None])))
             if found:
                 out.append(self.special[found.group()])
                 start = found.end()
         return out
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks not yet known, all in one array."""
-        new = [c for c in chunks if c not in self.known]
-        pieces = [self._pieces(c) for c in new]
-        numbers: dict[bytes, int] = {}
-        words = [p for part in pieces for p in part if isinstance(p, bytes)]
-        for word in words:
-            numbers.setdefault(word, len(numbers))
-        merged = self.merge(list(numbers))
-        # A special token is a word of one id, after the others.
-        after = {i: len(merged) + n for n, i in enumerate(dict.fromkeys(self.special.values()))}
-        order = [numbers[p] if isinstance(p, bytes) else after[p] for part in pieces for p in part]
-        merged += [np.array([i]) for i in after]
-        lengths = np.fromiter(map(len, merged), np.int64, len(merged))
-        flat = np.concatenate(merged) if merged else np.empty(0, np.int64)
-        taken = np.array(order, np.int64)
-        values = gather(flat, (np.cumsum(lengths) - lengths)[taken], lengths[taken])
-        parts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        sizes = np.add.reduceat(np.append(lengths[taken], 0), np.cumsum(parts) - parts) * (parts > 0) if len(parts) else parts
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.pool = np.append(self.pool, values.astype(np.int32))
-        self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(sizes))
+    def learn(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of distinct chunks; those not yet known are encoded, their new words all in one array."""
+        numbers = np.array([self.chunks.number.get(c, -1) for c in chunks], np.int64)
+        new = [chunks[i] for i in np.flatnonzero(numbers < 0).tolist()]
+        numbers[numbers < 0] = len(self.chunks.number) + np.arange(len(new))
+        joined = "\n".join(new)
+        special = self.special_pattern.search(joined)
+        pieces: list[str | int] = []
+        parts: list[int] = []
+        # No character of one line has a bearing on the case of another.
+        for chunk, low in zip(new, _lower(joined).split("\n")):
+            # Most chunks are letters, with one mark at most.
+            if low.isalpha():
+                pieces.append(low)
+                parts.append(1)
+            elif low[:-1].isalpha() and low[-1] in ",.;:!?":
+                pieces += (low[:-1], low[-1])
+                parts.append(2)
+            else:
+                found = self._pieces(chunk) if special else self.word_pattern.findall(low)
+                pieces += found
+                parts.append(len(found))
+        fresh = [p for p in dict.fromkeys(pieces) if p not in self.words.number]
+        self.words.add(fresh, *self.merge([w.encode() for w in fresh]))
+        ids, lengths = self.words.get(np.fromiter(map(self.words.number.__getitem__, pieces), np.int64, len(pieces)))
+        ends = np.append(0, np.cumsum(lengths))[np.cumsum(parts, dtype=np.int64)]
+        self.chunks.add(new, ids, np.diff(ends, prepend=0))
+        return numbers
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.known) > WORDS_KEPT:
-            self._forget()
-        split = [chunks_of(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
-        found = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
-        lengths = self.starts[found + 1] - self.starts[found]
-        ends = np.append(0, np.cumsum(lengths))[np.cumsum([len(c) for c in split])]
-        return np.split(gather(self.pool, self.starts[found], lengths), ends[:-1])
+        if len(self.chunks.number) > WORDS_KEPT:
+            self.chunks = Known()
+        if len(self.words.number) > WORDS_KEPT:
+            self._forget_words()
+        split = pc.ascii_split_whitespace(pa.array([_spaced(t or "") for t in texts], pa.string()))
+        found = split.values.dictionary_encode()
+        numbers = self.learn(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, lengths = self.chunks.get(numbers[found.indices.to_numpy()])
+        ends = np.append(0, np.cumsum(lengths))[split.offsets.to_numpy()[1:]]
+        return np.split(ids, ends[:-1])
 
     def decode(self, ids: list[int]) -> str:
         """The tokens with a blank between them: the file names no decoder."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of the runs that begin at `starts`, one after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
+
+
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs of `values` that begin at `starts`, one after another."""
-    before = np.cumsum(lengths) - lengths
-    return values[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
+    return values[runs(starts, lengths)]
 
 
 _chunk = regex.compile(r"\S+")
@@ -196,6 +236,16 @@ def chunks_of(text: str) -> list[str]:
     return _chunk.findall(text) if _odd.search(text) else text.split()
 
 
+def _spaced(text: str) -> str:
+    """The text, or one with the same chunks, in which no character beyond ASCII is white space."""
+    return text if text.isascii() else " ".join(chunks_of(text))
+
+
+def _lower(text: str) -> str:
+    # Capital sigma has one lower case here, whatever follows it.
+    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 @lru_cache(maxsize=2)
 def _loaded(definition: str) -> WordBpe:
     return WordBpe(definition)

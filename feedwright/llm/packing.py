@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedwright.llm import bpe
-from feedwright.llm.bpe import gather
+from feedwright.llm.bpe import runs
 from feedwright.llm.common import slices
 
 WINDOW = 2048
@@ -58,8 +58,8 @@ class Index:
         """The score of every document of the shard for the tokens of `seed`."""
         asked = self.tokens[self.starts[seed] : self.starts[seed + 1]]
         begin = self.posted[asked]
-        length = self.posted[asked + 1] - begin
-        return np.bincount(gather(self.document, begin, length), gather(self.gain, begin, length), self.size).astype(float)
+        at = runs(begin, self.posted[asked + 1] - begin)
+        return np.bincount(self.document[at], self.gain[at], self.size).astype(float)
 
 
 # Of a document: its place in the list of ids, the first token not yet packed, and all its tokens.

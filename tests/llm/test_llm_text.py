@@ -41,6 +41,29 @@ def test_odd_texts_encode_like_the_library(library):
         assert word_bpe.decode(want.ids) == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_words_are_merged_once_whatever_stands_beside_them(library, monkeypatch):
+    word_bpe = bpe.WordBpe(open(PATH, encoding="utf-8").read())
+    merge, merged = word_bpe.merge, []
+    monkeypatch.setattr(word_bpe, "merge", lambda words: merged.extend(words) or merge(words))
+    for text in ("Alpha beta", "alpha, BETA. beta! (Alpha)<|endoftext|>beta", "alpha"):
+        [found] = word_bpe.encode([text])
+        assert found.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(merged) == sorted([b"alpha", b"beta", b",", b".", b"!", b"(", b")"])
+
+
+def test_forgotten_words_and_white_space_of_all_kinds(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 20)
+    word_bpe = bpe.WordBpe(open(PATH, encoding="utf-8").read())
+    rng = random.Random(12)
+    letters = "aaabbe tn.,!?<|>\x1c\x1f\x85\u1680\u2003\u2028\u3000\xa0éÉΣσİ\u0301日1２'\n\t\r\x0b\x00\U0001f600"
+    for _ in range(40):
+        texts = ["".join(rng.choices(letters, k=rng.choice([0, 1, 3, 30, 300]))) + rng.choice(["", "<|endoftext|>"]) for _ in range(10)]
+        texts += ["".join(rng.choices("aab", k=rng.randrange(1, 60)))]
+        wanted = library.encode_batch(texts, add_special_tokens=False)
+        assert [f.tolist() for f in word_bpe.encode(texts)] == [w.ids for w in wanted]
+    assert [f.tolist() for f in word_bpe.encode(["", None])] == [[], []]
+
+
 def test_bpe_query(spark, sf, library):
     texts = {r.doc_id: r.text or "" for r in read(spark, sf, "documents").collect()}
     rows = {r.doc_id: r for r in QUERIES["op4_bpe"](spark, sf).collect()}
